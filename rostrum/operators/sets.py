@@ -19,3 +19,14 @@ def replace_column(df: DataFrame, name: str, value) -> DataFrame:
     """``select * except (name), value as name``: the replaced column moves to the end."""
     kept = [c for c in df.columns if c != name]
     return df.select(*kept, value.alias(name))
+
+
+def computed_once(df: DataFrame, **columns) -> DataFrame:
+    """Add costly columns that later filters and projections read several times.
+
+    Catalyst copies a column's expression into every place that uses it, which
+    repeats regular expressions over long texts. Behind a one-element generator the
+    value is computed once per row and then carried.
+    """
+    record = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(record)))

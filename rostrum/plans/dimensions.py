@@ -49,15 +49,14 @@ def dim_members(
     Histories come from a single pass over the positions. Several current
     constituencies of one member give one row each.
     """
-    seen = (
-        attendance.filter("member_name is not null")
-        .groupBy("member_name")
-        .agg(
-            F.min("date").alias("earliest_sitting"),
-            F.max("date").alias("latest_sitting"),
-            F.countDistinct(F.when(F.col("is_present"), F.col("date"))).alias("count_sittings_present"),
-            F.countDistinct("date").alias("count_sittings_total"),
-        )
+    days = attendance.filter("member_name is not null").groupBy("member_name", "date").agg(
+        F.bool_or("is_present").alias("present")
+    )
+    seen = days.groupBy("member_name").agg(
+        F.min("date").alias("earliest_sitting"),
+        F.max("date").alias("latest_sitting"),
+        F.count_if(F.col("present") & F.col("date").isNotNull()).alias("count_sittings_present"),
+        F.count("date").alias("count_sittings_total"),
     )
     parties = party.groupBy("member_name").agg(
         F.array_sort(F.collect_list(F.struct("party", "parliament"))).alias("party")

@@ -10,7 +10,7 @@ from rostrum.functions import text as tx
 from rostrum.operators.joins import left_lookup, reconcile_full
 from rostrum.operators.lifecycle import lifecycle_summary, stitch_across_years
 from rostrum.operators.ranking import primary_secondary, rank_categories
-from rostrum.operators.sets import replace_column
+from rostrum.operators.sets import computed_once, replace_column
 from rostrum.operators.temporal import concurrent_positions_by_date, interval_left_join
 
 
@@ -88,10 +88,9 @@ def topic_ministries(speeches: DataFrame, topics: DataFrame) -> DataFrame:
     """
     text = F.col("text")
     asks, stood = tx.asks_a_minister(text), tx.stood_in_name(text)
+    worded = computed_once(speeches.filter(asks | stood), stood=stood, words=tx.extract_minister_for(text))
     labels = (
-        speeches.filter(asks | stood)
-        .select("topic_id", stood.alias("stood"), tx.extract_minister_for(text).alias("words"))
-        .select("topic_id", "stood", tx.ministry_of(F.col("words")).alias("ministry_addressed"))
+        worded.select("topic_id", "stood", tx.ministry_of(F.col("words")).alias("ministry_addressed"))
         .filter("ministry_addressed is not null")
         .groupBy("topic_id", "stood", "ministry_addressed")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -160,7 +159,7 @@ def mart_speeches(
     )
     primary = tx.is_primary_question(F.col("section_type"), F.col("text"))
     words = F.when(primary, tx.extract_minister_for(F.col("text")))
-    enriched = enriched.withColumns({"is_primary_question": primary, "__words": words}).withColumn(
+    enriched = computed_once(enriched, is_primary_question=primary, __words=words).withColumn(
         "ministry_addressed", tx.ministry_of(F.col("__words"))
     )
     if compat:

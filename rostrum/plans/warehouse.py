@@ -23,9 +23,9 @@ RAW_TABLES = (
     "members_year_of_birth", "highest_topic", "topic_names", "bills_introduced", "speech_positions",
 )
 
-# layer -> how its models are kept
+# layer -> how its models are kept; positions are stored because four models read them
 LAYERS = {
-    "stg": "view", "dim_prep": "view", "dim": "table", "fact": "table", "mart_prep": "table", "mart": "table",
+    "stg": "view", "dim_prep": "table", "dim": "table", "fact": "table", "mart_prep": "table", "mart": "table",
     "agg": "table", "dash": "table",
 }
 
@@ -60,7 +60,7 @@ class Warehouse:
         self._built: dict[str, DataFrame] = {}
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        layer = next(x for x in sorted(LAYERS, key=len, reverse=True) if name.startswith(x))
+        layer = max((x for x in LAYERS if name.startswith(x)), key=len)
         return df if self.folder is None else materialise(df, name, LAYERS[layer], self.folder)
 
     def sheet(self, staged: str) -> DataFrame:
@@ -234,6 +234,10 @@ class Warehouse:
             self.raw["speech_positions"], self.mart_speeches, self.agg_speech_metrics_by_member
         )
 
+    def plan(self, name: str) -> DataFrame:
+        """A model itself left lazy, on top of kept upstream models."""
+        return vars(type(self))[name].fget.__wrapped__(self)
+
     def build_all(self) -> dict[str, DataFrame]:
         """Every model; with a folder this stores all tables."""
         return {name: getattr(self, name) for name in MODELS}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +48,26 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach, named by the session's ``spark.checkpoint.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    folder = tempfile.mkdtemp(prefix="rostrum-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def stored_once(df: DataFrame) -> DataFrame:
+    """Store an intermediate result that several plans read, instead of recomputing it.
+
+    The written table survives the loss of executors and keeps column pruning.
+    """
+    return write_table(df, f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}")
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
