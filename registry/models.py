@@ -41,10 +41,21 @@ _SWITCHED = [
 ]
 
 
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+
+
 def warehouse(spark, folder, compat=False) -> Warehouse:
-    """A warehouse of its own for each query, with its tables in the shared folder."""
-    kept = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    return Warehouse(RawTables(spark, folder), as_of=F.to_date(F.lit(AS_OF)), compat=compat, folder=kept)
+    """One warehouse per session, data folder and reading; its tables are built once."""
+    key = (spark.sparkContext.applicationId, folder, compat)
+    if key not in _WAREHOUSES:
+        kept = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        _WAREHOUSES[key] = Warehouse(RawTables(spark, folder), F.to_date(F.lit(AS_OF)), compat, kept)
+    return _WAREHOUSES[key]
+
+
+def forget_warehouses() -> None:
+    """Build everything anew from here on."""
+    _WAREHOUSES.clear()
 
 
 def _shown(model: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostrum.operators.joins import left_lookup, membership
+from rostrum.operators.joins import left_lookup
 
 _BUCKETS = {
     "year": lambda d: F.year(d),
@@ -175,15 +175,29 @@ def close_stale_intervals(
     Keys in the newest snapshot keep only its rows. Keys that left it keep all their
     rows, and intervals still open there are closed on ``close_on``.
     """
-    newest = history.agg(F.max(snapshot).alias("newest")).scalar()
-    present = history.filter(F.col(snapshot) == newest).select(key).distinct()
-    flagged = membership(history, key, present, "__present")
+    seen = history.agg(
+        F.struct(
+            F.max(snapshot).alias("newest"),
+            F.max(F.when(F.col(key).isNull(), F.col(snapshot))).alias("newest_unnamed"),
+        ).alias("s")
+    ).scalar()
+    latest = history.groupBy(key).agg(F.max(snapshot).alias("__latest"))
+    # as with NOT IN: an unnamed row in the newest snapshot leaves absence undecided
+    present = (
+        F.when(F.col(key).isNull(), None)
+        .when(F.col("__latest") == seen["newest"], True)
+        .when(seen["newest_unnamed"] == seen["newest"], None)
+        .otherwise(False)
+    )
+    flagged = left_lookup(history, latest, [key]).withColumn("__present", present)
     stale = F.col(end).isNull() & ~F.col("__present")
     changes = {end: F.when(stale, close_on).otherwise(F.col(end))}
     if text:
         changes[text] = F.when(stale, F.replace(F.col(text), F.lit(text_from), F.lit(text_to))).otherwise(F.col(text))
     return (
-        flagged.filter(~F.col("__present") | (F.col(snapshot) == newest)).withColumns(changes).drop("__present")
+        flagged.filter(~F.col("__present") | (F.col(snapshot) == seen["newest"]))
+        .withColumns(changes)
+        .drop("__present", "__latest")
     )
 
 
