@@ -152,8 +152,10 @@ STATEMENTS: dict[str, str] = {
         select c_mktsegment, member_name,
                case when k % 5 = 0 then 'Speaker' else 'Minister ' || cast(k % 9 as string) end as position,
                cast(f as string) as from_date,
-               case when st <> 'P' then cast(cast(f + interval '200' day as date) as string) end as to_date,
-               case when st <> 'P' then 'closed' else 'since then - Current' end as date_range from {offices}""",
+               case when st <> 'P' or f < date '2018-06-01' then cast(cast(f + interval '200' day as date) as string) end
+                 as to_date,
+               case when st <> 'P' or f < date '2018-06-01' then 'closed' else 'since then - Current' end as date_range
+        from {offices}""",
     "members_office_holding": """
         select member_name, position, from_date, to_date, date_range, '2024-01-01' as accessed_at from {office_terms}
         union all
