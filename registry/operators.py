@@ -12,7 +12,7 @@ from rostrum.functions import text as tx
 from rostrum.operators import aggregate, dedupe, joins, lifecycle, quality, ranking, sets, temporal
 from rostrum.plans.dashboards import age_at_entry
 from rostrum.sources import tables
-from rostrum.sources.tables import load_table, shared_folder
+from rostrum.sources.tables import load_table, shared_folder, spread
 
 D = F.col
 
@@ -156,7 +156,7 @@ def like_and_not_like(spark, d):
 @query("""select doc_id, lower(text) like '%there%' or lower(text) like '%licen%e%' or lower(text) like '%und%' as hit
           from documents""")
 def like_any_of(spark, d):
-    return load_table(spark, d, "documents").select(
+    return spread(load_table(spark, d, "documents")).select(
         "doc_id", tx.like_any(F.lower("text"), ["%there%", "%licen%e%", "%und%"]).alias("hit")
     )
 
@@ -620,7 +620,7 @@ def string_cleaning(spark, d):
                   length(regexp_replace(text, '([0-9])([0-9])', '\2\1', 'g')) as swapped_length from documents""")
 def pattern_functions(spark, d):
     text = D("text")
-    return portable(load_table(spark, d, "documents").select(
+    return portable(spread(load_table(spark, d, "documents")).select(
         "doc_id", tx.contains_ci(text, "Tion Of").alias("has_phrase"), text.rlike(r"[A-Z][a-z]+ly\b").alias("has_pattern"),
         tx.extract_or_null(text, r"(\w+)@\w+").alias("mailbox"),
         F.length(F.regexp_replace(text, "([0-9])([0-9])", "$2$1")).alias("swapped_length"),
@@ -706,7 +706,7 @@ def _counts(df):
 
 @query(f"select doc_id, {_COUNTS} from documents")
 def text_counts(spark, d):
-    return _counts(load_table(spark, d, "documents").select("doc_id", "text")).drop("text")
+    return _counts(spread(load_table(spark, d, "documents")).select("doc_id", "text")).drop("text")
 
 
 @query(f"""select lang, count(*) as n, round(avg(206.835::double - 1.015::double * (words / nullif(sentences, 0))
@@ -714,7 +714,7 @@ def text_counts(spark, d):
            from (select lang, {_COUNTS} from documents) group by 1""")
 def readability_by_language(spark, d):
     score = tx.readability(D("words"), D("sentences"), D("syllables"))
-    return _counts(load_table(spark, d, "documents").select("lang", "text")).groupBy("lang").agg(
+    return _counts(spread(load_table(spark, d, "documents")).select("lang", "text")).groupBy("lang").agg(
         F.count("*").alias("n"), F.round(F.avg(score), 4).alias("readability")
     )
 
@@ -756,7 +756,7 @@ _RULES = [("Finance", "money"), ("[Ww]hether", "question"), ("tion", "noun"), ("
                  (3, 'tion', 'noun'), (4, 'und', 'german'), (5, 'é', 'french')) r(i, p, label)
                  where regexp_matches(text, p)) as label from documents""")
 def classify_first_match(spark, d):
-    return load_table(spark, d, "documents").select("doc_id", tx.classify_first_match(D("text"), _RULES).alias("label"))
+    return spread(load_table(spark, d, "documents")).select("doc_id", tx.classify_first_match(D("text"), _RULES).alias("label"))
 
 
 @query("""select p_partkey, case when p_type = 'ECONOMY' then 'Economy' when p_type = 'PROMO' then 'Promotion'
@@ -929,7 +929,7 @@ def check_accepted_range(spark, d):
 @query("select doc_id, n_chars from documents where lang <> 'de' and not (n_chars >= length(text) and n_chars < 3000)")
 def check_expression(spark, d):
     check = quality.expression_is_true("n_chars >= length(text) and n_chars < 3000", where="lang <> 'de'")
-    return quality.violations(load_table(spark, d, "documents"), check).select("doc_id", "n_chars")
+    return quality.violations(spread(load_table(spark, d, "documents")), check).select("doc_id", "n_chars")
 
 
 @query("""select 'lineitem' as table_name, * , case failures when 0 then 'pass' else severity end as status from (

@@ -70,7 +70,9 @@ def expand_intervals(
     """One row per interval and calendar date inside it (a range join without other keys).
 
     Intervals are listed by month and meet the month's dates. The calendar may be
-    broadcast: it holds at most one row per calendar day, whatever the data size.
+    broadcast: it holds at most one row per calendar day, whatever the data size. The
+    listed months are spread over all tasks first, because a small table of long
+    intervals grows many times over.
     """
     to_month = _BUCKETS["month"]
     days = calendar.select(F.col(date).alias("__day")).distinct().withColumn("__month", to_month(F.col("__day")))
@@ -79,6 +81,8 @@ def expand_intervals(
         .filter(F.col(start) <= F.col("__to"))
         .withColumn("__iv_month", F.explode(F.sequence(to_month(F.col(start)), to_month(F.col("__to")))))
     )
+    tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread.repartition(tasks, "__iv_month", *intervals.columns)
     covered = (F.col("__iv_month") == F.col("__month")) & F.col("__day").between(F.col(start), F.col("__to"))
     return (
         spread.join(F.broadcast(days), covered, "inner")

@@ -12,7 +12,7 @@ from rostrum.operators.dedupe import flag_current, latest_per_key
 from rostrum.operators.joins import canonical_lookup, left_lookup
 from rostrum.operators.temporal import close_stale_intervals, session_dates
 from rostrum.sources.schemas import STAGED_SHEETS
-from rostrum.sources.tables import rename_cast
+from rostrum.sources.tables import rename_cast, stored_once
 
 
 def _to_canonical(df: DataFrame, name_map: DataFrame) -> DataFrame:
@@ -175,7 +175,9 @@ def stg_members_member_of_parliament(raw: DataFrame, sheet: DataFrame, compat: b
         "effective_to_date", F.when(F.coalesce(current, F.lit(False)), None).otherwise(F.col("effective_to_date"))
     ).drop("date_range")
     both = terms.unionByName(sheet).withColumn(position, trim_ws(replace_nbsp(F.col(position))))
-    return flag_current(_distinct_terms(both, position), ["member_name"], "effective_to_date", "is_latest_constituency")
+    # stored, since the flag reads the terms twice
+    terms = stored_once(_distinct_terms(both, position))
+    return flag_current(terms, ["member_name"], "effective_to_date", "is_latest_constituency")
 
 
 def stg_members_office_holding(raw: DataFrame, sheet: DataFrame) -> DataFrame:

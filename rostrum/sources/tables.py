@@ -18,6 +18,16 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table stored in fewer pieces than there are cores.
+
+    Meant for costly work on small tables in one file; a table in many pieces stays
+    as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_sheet(spark: SparkSession, path: str, columns: Mapping[str, str]) -> DataFrame:
     """An exported spreadsheet range: header row, declared types, nothing inferred."""
     schema = T.StructType([T.StructField(n, T.DataType.fromDDL(t)) for n, t in columns.items()])
