@@ -142,8 +142,9 @@ class Warehouse:
 
     @_model
     def dim_members(self):
+        # the stored fact has the staged rows, which need not be cleaned again
         return dimensions.dim_members(
-            self.stg_attendance,
+            self.fact_attendance,
             self.sheet("stg_gsheet_member_gender"),
             self.stg_members_year_of_birth,
             self.sheet("stg_gsheet_member_ethnicity"),
