@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, decontaminate
+from llm import bpe, decontaminate, language, sharding, token_files
 from llm.common import read
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,21 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+@_query
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_report(read(spark, folder, "documents"), 40)
+
+
+@_query
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.file_report(read(spark, folder, "documents"), VOCABULARY)
+
+
+@_query
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_report(read(spark, folder, "documents"))
+
+
 _WORDS_AZ09 = (
     r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
