@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from llm.common import ID, TEXT, pick
 
-KEPT_PIECES, KEPT_WORDS, KEPT_PAIRS = 500_000, 1_000_000, 1_000_000  # entries in a worker's tables of what it has met
+KEPT_PIECES, KEPT_WORDS, KEPT_PAIRS = 250_000, 400_000, 1_000_000  # entries in a worker's tables of what it has met
 # Fixed: Unicode White_Space, and the tokenizer's pattern.
 _SPACE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
@@ -194,6 +194,12 @@ def tokenizer(path: str) -> Tokenizer:
     return _LOADED[path]
 
 
+def slices(rows: pd.Series, size: int = 256) -> Iterator[pd.Series]:
+    """Few rows at a time, so that results don't pile up to whole batches."""
+    for k in range(0, len(rows), size):
+        yield rows.iloc[k : k + size]
+
+
 def encode(text: Column, path: str) -> Column:
     """Ids of a text, as the bytes of little-endian unsigned 32-bit integers. ``path``: of the vocabulary, on each machine."""
 
@@ -201,7 +207,8 @@ def encode(text: Column, path: str) -> Column:
     def encoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         t = tokenizer(path)
         for texts in parts:
-            yield pd.Series([t.encode(x) for x in texts], dtype=object)
+            for some in slices(texts):
+                yield pd.Series([t.encode(x) for x in some], dtype=object)
 
     return encoded(text)
 
@@ -213,7 +220,8 @@ def decode(ids: Column, path: str) -> Column:
     def decoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         t = tokenizer(path)
         for column in parts:
-            yield pd.Series([t.decode(x) for x in column], dtype=object)
+            for some in slices(column):
+                yield pd.Series([t.decode(x) for x in some], dtype=object)
 
     return decoded(ids)
 

@@ -30,7 +30,7 @@ MOST_DOCS = 20_000  # labelled documents that a model is fitted on
 MOST_WORDS, MOST_GRAMS = 100_000, 100_000  # the most frequent ones, over all languages
 LONGEST = 4
 EVIDENCE = 20
-KEPT = 400_000  # unseen words of which a worker keeps the scores
+KEPT = 250_000  # unseen words of which a worker keeps the scores
 UNDETERMINED = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 

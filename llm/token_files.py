@@ -30,7 +30,7 @@ from llm.common import ID, TEXT, pick, scratch
 
 END_ID = 1
 SEGMENT_TOKENS = 1 << 18  # a segment is closed by the document that reaches this
-KEPT = 700_000  # words of which a worker keeps the ids
+KEPT = 500_000  # words of which a worker keeps the ids
 BLOCK = 512
 _HEAD = struct.Struct("<4sIIQ")  # mark, documents, levels, tokens
 _MARK = b"DAC1"
