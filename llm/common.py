@@ -34,8 +34,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written once and read back: the lineage ends there and lost executors lose nothing."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Written once and read back: the lineage ends there and lost executors lose nothing.
+
+    The shuffle files of the write are of no more use then, so Spark is asked to delete them with it.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, decontaminate, language, sharding, token_files
+from llm import bpe, decontaminate, language, sharding, substrings, token_files
 from llm.common import read
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +46,11 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(read(spark, folder, "documents"))
 
 
+@_query
+def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeat_report(read(spark, folder, "documents"))
+
+
 _WORDS_AZ09 = (
     r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -69,3 +74,17 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(words_hit.n, 0) AS n_hit, coalesc
   sha256(coalesce(items.names, '')) AS items_sha256, coalesce(words_hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+SQL["op8_substrings"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
+win AS (
+  SELECT r, i, md5_number(array_to_string(w[i:i + 34], ' ')) AS k
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+twice AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN twice USING (k)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
