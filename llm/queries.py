@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, decontaminate, language, sharding, substrings, token_files
+from llm import bpe, decontaminate, language, ngram_join, sharding, substrings, token_files
 from llm.common import read
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,11 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.file_report(read(spark, folder, "documents"), VOCABULARY)
 
 
+@_query
+def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.class_report(read(spark, folder, "documents"))
+
+
 @_query
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(read(spark, folder, "documents"))
@@ -88,3 +93,22 @@ kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM wor
 SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
+
+SQL["op6_ngram_join"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, md5_number(array_to_string(w[i:i + 2], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+rare AS (SELECT s FROM sh GROUP BY s HAVING count(*) > 1),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM (SELECT * FROM sh SEMI JOIN rare USING (s)) x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a) m USING (doc_id)
+"""
