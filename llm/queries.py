@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, decontaminate, language, ngram_join, sharding, substrings, token_files
+from llm import bpe, decontaminate, language, ngram_join, pii, sharding, substrings, token_files
 from llm.common import read
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +26,11 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_report(read(spark, folder, "documents"), VOCABULARY)
 
 
+@_query
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.span_report(read(spark, folder, "documents"))
+
+
 @_query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
