@@ -130,6 +130,8 @@ class Forest:
 
 def connecting_pairs(nodes, sizes, bitmaps, labels, rejected: set[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
     """Pairs within a block that may be linked and connect different labels; as many as it takes to connect them."""
+    if len(nodes) < 2:
+        return []
     narrow = min(map(len, bitmaps)) // 8
     bits = np.stack([folded(np.frombuffer(b, "u8"), narrow) for b in bitmaps])
     forest, found = Forest(labels), []
