@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, decontaminate, language, ngram_join, pii, sharding, substrings, token_files
+from llm import bpe, decontaminate, language, ngram_join, pii, quotes, sharding, substrings, syncmers, token_files
 from llm.common import read
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,16 @@ def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeat_report(read(spark, folder, "documents"))
 
 
+@_query
+def op9_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.fingerprint_report(read(spark, folder, "documents"))
+
+
+@_query
+def op10_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.conversation_report(read(spark, folder, "conversations"))
+
+
 _WORDS_AZ09 = (
     r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
