@@ -258,11 +258,11 @@ def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame
 
 
 def near_duplicate_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str = ID, text: str = TEXT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, row (hash of id and text), n_shingles, component_id."""
+    """One row per row of ``docs``: doc_id, row (hash of id and text), n_shingles, class and component_id (its least doc_id)."""
     rows = pick(docs, doc_id=id_col, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
     described = describe(rows.select("row", "text"), k, percent)
-    ids = rows.select("row", "doc_id").distinct()
+    ids = rows.select("row", "doc_id").distinct()  # equal rows have one entry
     described = stored(described, "described")
 
     def arrays_of(nodes: DataFrame) -> DataFrame:
@@ -283,7 +283,7 @@ def near_duplicate_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PER
     full = flat.filter("n_shingles > 0")
     least = full.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     empty = flat.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "row", "n_shingles", "component_id"]
+    columns = ["doc_id", "row", "n_shingles", F.col("label").alias("class"), "component_id"]
     return reduce(DataFrame.union, [full.join(least, "label").select(columns), empty.select(columns)])
 
 
