@@ -14,6 +14,7 @@ share an id follow one another in the order of their texts. Other columns are no
 
 from __future__ import annotations
 
+import re
 import struct
 import unicodedata
 import zlib
@@ -30,62 +31,85 @@ from llm.common import ID, TEXT, pick, scratch
 
 END_ID = 1
 SEGMENT_TOKENS = 1 << 18  # a segment is closed by the document that reaches this
-KEPT = 500_000  # words of which a worker keeps the ids
+KEPT_WORDS, KEPT_FORMS = 600_000, 400_000  # words and forms of which a worker keeps the ids
 BLOCK = 512
 _HEAD = struct.Struct("<4sIIQ")  # mark, documents, levels, tokens
 _MARK = b"DAC1"
 _SEGMENT = "shard int, segment int, first_token long, tokens long, documents long, payload binary"
 
 
+_TAIL = "!#$%&*+,-./:;=?@^_|~)]}"  # marks that make one piece wherever they stand together behind letters
+_RISKY = re.compile("[\u03a3\u0130]")  # letters whose lower case depends on what stands beside them, or is two code points
+
+
 class LibraryCoder:
-    """The tokenizers library over the distinct words of a batch; ids of words met before are kept."""
+    """The tokenizers library over the distinct words of a batch; ids of words met before are kept.
+
+    Blanks and line feeds part words in any case, so the words of a text don't affect one another.
+    """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.between = max(self.library.get_added_tokens_decoder())
-        self.mark = f" {self.library.id_to_token(self.between)} "
-        self.ids: dict[str, bytes] = {"": b""}
-
-    def learn(self, new: list[str]) -> None:
-        """Ids of words without blanks; a special token parts the words of one call. Words don't affect one another."""
-        alone = [w for w in new if "<|" in w]
-        joined = [w for w in new if "<|" not in w]
-        groups = [joined[i : i + 500] for i in range(0, len(joined), 500)] + [[w] for w in alone]
-        coded = self.library.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)
-        for group, one in zip(groups, coded, strict=True):
-            ids = np.array(one.ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.between) if len(group) > 1 else []
-            raw = ids.tobytes()
-            at = [-1, *cuts, len(ids)]
-            for k, word in enumerate(group):
-                self.ids[word] = raw[4 * (at[k] + 1) : 4 * at[k + 1]]
+        tokens = self.library.get_vocab()
+        self.ends = np.zeros(max(tokens.values()) + 1, bool)
+        self.ends[[i for t, i in tokens.items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {"": b""}  # in lower case, or marks: one piece each
+        self.forms: dict[str, bytes] = {"": b""}  # as they stand in texts
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of words that are one piece each: a piece ends with the one token that says so."""
+        groups = [new[i : i + 200] for i in range(0, len(new), 200)]
+        for group, coded in zip(groups, self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(coded.ids, dtype="<u4")
+            raw, ends = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            self.words.update(zip(group, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers. Blanks and line feeds part words in any case."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.ids) > KEPT:
-            self.ids = {"": b""}
-        known = self.ids
-        # Most new words are a known one in other letters or with marks behind it.
-        new, parted = set(), {}
-        for w in {w for words in split for w in words if w not in known}:
-            body = w.rstrip(_TAIL)
-            lower = body.lower()
-            if lower and lower.isalpha() and body.isalpha() and "Σ" not in body and unicodedata.is_normalized("NFC", body):
-                parted[w] = lower, w[len(body) :]
-                new.update(x for x in parted[w] if x not in known)
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes | None] = [None] * len(texts)
+        split, odd = {}, []
+        for k, text in enumerate(texts):
+            # Lower case may come first where no other rule looks at letters before it does.
+            if "<|" not in text and (text.isascii() or not _RISKY.search(text) and unicodedata.is_normalized("NFC", text)):
+                split[k] = text.lower().replace("\n", " ").split(" ")
+            else:
+                odd.append(k)
+        if len(self.forms) > KEPT_FORMS:
+            self.forms = {"": b""}
+        if len(self.words) > KEPT_WORDS:
+            self.words = {"": b""}
+        forms, words = self.forms, self.words
+        parted, others, new = [], [], set()
+        for form in set().union(*split.values()).difference(forms):
+            body = form.rstrip(_TAIL)
+            if body.isalpha():  # most forms: a word, with marks behind it
+                if body not in words:
+                    new.add(body)
+                if body is not form:
+                    tail = form[len(body) :]
+                    if tail not in words:
+                        new.add(tail)
+                    parted.append((form, body, tail))
+                else:
+                    parted.append((form, form, ""))
             else:
-                new.add(w)
-        if new:
-            self.learn(list(new))
-        for w, (body, tail) in parted.items():
-            known[w] = known[body] + known[tail]
-        return [b"".join([known[w] for w in words]) for words in split]
+                others.append(form)
+        self._learn(list(new))
+        for form, body, tail in parted:
+            forms[form] = words[body] + words[tail] if tail else words[body]
+        if others:
+            for form, coded in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False), strict=True):
+                forms[form] = np.array(coded.ids, dtype="<u4").tobytes()
+        if odd:
+            for k, coded in zip(odd, self.library.encode_batch_fast([texts[k] for k in odd], add_special_tokens=False), strict=True):
+                out[k] = np.array(coded.ids, dtype="<u4").tobytes()
+        for k, text in split.items():
+            out[k] = b"".join(map(forms.__getitem__, text))
+        return out
 
 
-_TAIL = "!#$%&*+,-./:;=?@^_|~)]}"  # marks that make one piece wherever they stand together behind letters
 _CODERS: dict[str, LibraryCoder] = {}
 
 
@@ -192,7 +216,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     sent = pick(docs, ID, TEXT).select(
         F.col(ID).isNotNull().alias("known"), F.coalesce(F.col(ID).cast("long"), F.lit(0)).alias("doc"), F.coalesce(TEXT, F.lit("")).alias("text")
     )
-    ordered = sent.repartitionByRange("known", "doc", "text").sortWithinPartitions("known", "doc", "text")
+    ordered = sent.repartitionByRange("known", "doc").sortWithinPartitions("known", "doc", "text")
     ordered.mapInPandas(segments, _SEGMENT).write.option("compression", "zstd").parquet(path)
 
 
