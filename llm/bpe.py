@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ID, TEXT, pick
+from llm.common import ID, TEXT, clear, pick
 
 KEPT_PIECES, KEPT_WORDS, KEPT_PAIRS = 250_000, 400_000, 1_000_000  # entries in a worker's tables of what it has met
 # Fixed: Unicode White_Space, and the tokenizer's pattern.
@@ -228,6 +228,7 @@ def decode(ids: Column, path: str) -> Column:
 
 def encode_documents(docs: DataFrame, path: str, text: str = TEXT) -> DataFrame:
     """``docs`` with ``token_ids`` (binary, see ``encode``) and ``n_tokens``; columns of these names are replaced."""
+    docs = clear(docs, text)
     return docs.withColumn("token_ids", encode(F.col(text), path)).withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
 
 

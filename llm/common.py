@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,24 @@ def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
     return plain.select(*[F.col(f"_{at[old]}").alias(new) for new, old in wanted.items()])
 
 
+def clear(df: DataFrame, *keep: str, reserved: Iterable[str] = ()) -> DataFrame:
+    """All columns, under names that differ by more than case.
+
+    The first column of each name in ``keep`` has it for itself; others of that name, of a reserved one, or of any earlier
+    column's, get ``_1`` at the end.
+    """
+    at = {df.columns.index(k): k for k in keep if k in df.columns}
+    used = {k.lower() for k in at.values()} | {r.lower() for r in reserved}
+    names = []
+    for i, name in enumerate(df.columns):
+        if i not in at:
+            while name.lower() in used:
+                name += "_1"
+            used.add(name.lower())
+        names.append(name)
+    return df.toDF(*names)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``. Only a local session may do without that setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -17,10 +17,10 @@ from itertools import repeat
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ID, TEXT, pick
+from llm.common import ID, TEXT, clear, pick
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20  # of item text in one automaton; a larger set of items takes several automata
@@ -121,15 +121,15 @@ def blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, s
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, text: Column | str = TEXT, item_id: str = "item_id", item_text: str = "text",
+    docs: DataFrame, benchmark: DataFrame, text: str = TEXT, item_id: str = "item_id", item_text: str = "text",
     window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with a struct ``contamination``: n_words, runs of hit words, items met, spans in the text (end exclusive)."""
     named = pick(benchmark, item=item_id, text=item_text).select(F.col("item").cast("string").alias("item"), "text")
-    text = F.col(text) if isinstance(text, str) else text
+    docs = clear(docs, text)
     found = F.from_json(F.lit(None).cast("string"), _RESULT)
     for items in blocks(named, block_bytes):
-        found = _scanner(docs.sparkSession, items, window)(text, found["runs"], found["items"])
+        found = _scanner(docs.sparkSession, items, window)(F.col(text), found["runs"], found["items"])
     return docs.withColumn("contamination", found)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import ID, TEXT, pick
+from llm.common import ID, TEXT, clear, pick
 
 MOST_DOCS = 20_000  # labelled documents that a model is fitted on
 MOST_WORDS, MOST_GRAMS = 100_000, 100_000  # the most frequent ones, over all languages
@@ -107,7 +107,7 @@ def fit(labelled: DataFrame, id_col: str = ID, text: str = TEXT, lang: str = "la
     return Model(languages, table(words, "word", MOST_WORDS, totals), table(grams, "gram", MOST_GRAMS, sums))
 
 
-def predict(docs: DataFrame, model: Model, text: Column | str = TEXT) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text: str = TEXT) -> DataFrame:
     """``docs`` with lang_pred and score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_WORDS and MOST_GRAMS
     kind = T.StructType().add("lang_pred", "string").add("score", "double")
@@ -118,7 +118,7 @@ def predict(docs: DataFrame, model: Model, text: Column | str = TEXT) -> DataFra
         for texts in parts:
             yield pd.DataFrame([use.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    found = docs.withColumn("_found", predicted(text))
+    found = clear(docs, text, reserved=["_found"]).withColumn("_found", predicted(text))
     return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
 
 

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ID, TEXT, pick
+from llm.common import ID, TEXT, clear, pick
 
 KINDS = ["email", "ip", "card", "phone", "secret"]  # fixed: order among spans that start together
 _LOCAL, _RUN = "A-Za-z0-9._%+-", "A-Za-z0-9+/_=.-"
@@ -71,12 +71,13 @@ def _held(kind: str) -> Column:
     return F.filter(located("_text", PATTERNS[kind]), lambda s: _holds(kind, s["word"]))
 
 
+OWN = ["_text", "_digit", "_base", "_runs", *[f"_{k}" for k in KINDS]]
 _MARK = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
 
 def base_spans(docs: DataFrame, text: str = TEXT) -> DataFrame:
     """``docs`` with ``_text`` (never null) and an array of spans for each base kind, ``_email`` to ``_phone``."""
-    docs = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    docs = clear(docs, text, reserved=OWN).withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     docs = docs.withColumn("_digit", F.col("_text").rlike("[0-9]"))
     columns = {}
     for kind in KINDS[:4]:
@@ -190,7 +191,7 @@ def find_spans(docs: DataFrame, model: SpanModel | None, text: str = TEXT) -> Da
     names = F.array(*[F.lit(k) for k in KINDS])
     all_spans = F.array_sort(F.concat(*[ordered(k) for k in range(len(KINDS))]))
     named = F.transform(all_spans, lambda s: F.struct(F.get(names, s["rank"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return found.withColumn("pii", named).drop("_text", "_digit", "_base", "_runs", *[f"_{k}" for k in KINDS])
+    return found.withColumn("pii", named).drop(*OWN)
 
 
 def redact(found: DataFrame, text: str = TEXT) -> DataFrame:

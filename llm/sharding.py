@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import ID, TEXT, pick
+from llm.common import ID, TEXT, clear, pick
 
 OVERHEAD = 16  # bytes a record weighs besides its text
 DRAWS_PER_RANGE = 24
@@ -30,6 +30,9 @@ OVERFULL = 3.0  # times the mean
 WHOLE = 1 / 64  # of a shard: a group of equal texts up to this size is kept in one shard
 
 
+_OWN = ["_h", "_id", "_range", "_base", "_at", "_group", "_first", "_slot"]
+
+
 def _key_columns(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.withColumns({
@@ -80,6 +83,7 @@ def _drawn(keyed: DataFrame, mean: float) -> list[tuple[int, int]]:
 
 def assign_shards(docs: DataFrame, shards: int, id_col: str = ID, text: str = TEXT, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``docs`` with size, shard and slot (gapless within the shard)."""
+    docs = clear(docs, id_col, text, reserved=_OWN)
     keyed = _key_columns(docs, id_col, text)
     narrow = keyed.select("_h", "_id", "size")
     total, rows = narrow.agg(F.sum("size"), F.count("*")).first()
