@@ -69,3 +69,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of stored tables, once everything read from them is stored itself."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

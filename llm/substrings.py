@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ID, TEXT, pick, stored
+from llm.common import ID, TEXT, discard, pick, stored
 
 WINDOW = 35
 AHEAD, BACK = 0, 1
@@ -100,8 +100,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pd.DataFrame(out, columns=["k1", "k2", "at", "single", "ahead", "back"])
 
     listed = docs.mapInPandas(find, "k1 long, k2 long, at array<int>, single array<long>, ahead array<long>, back array<long>")
-    rows = stored(listed, "anchors").select("k1", "k2", F.explode(F.arrays_zip("at", "single", "ahead", "back")).alias("a")).select("k1", "k2", "a.*")
+    listed = stored(listed, "anchors")
+    rows = listed.select("k1", "k2", F.explode(F.arrays_zip("at", "single", "ahead", "back")).alias("a")).select("k1", "k2", "a.*")
     once = stored(_repeating(rows, "single").drop("single"), "anchors-1")
+    discard(listed)
     ways = F.array(F.struct(F.lit(AHEAD).alias("way"), F.col("ahead").alias("double")), F.struct(F.lit(BACK).alias("way"), F.col("back").alias("double")))
     doubled = once.select("k1", "k2", "at", F.explode(ways).alias("w")).select("k1", "k2", "at", "w.*").filter("double <> 0")
     # The codes of a document are as many as it has words at most.
@@ -121,9 +123,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     kept = docs.join(left, ["k1", "k2"]).select("k1", "k2", "text", "codes")
     wide = stored(kept.mapInPandas(extend, "k1 long, k2 long, start array<int>, hash array<long>, check array<int>"), "windows")
+    discard(once)
     full = wide.select("k1", "k2", F.explode(F.arrays_zip("start", "hash", "check")).alias("w")).select("k1", "k2", "w.*")
     found = _repeating(full, "hash", "check").groupBy("k1", "k2").agg(F.collect_set("start").alias("starts"))
-    return stored(found, "repeated")
+    found = stored(found, "repeated")
+    discard(wide)
+    return found
 
 
 _CLEANED = "doc_id long, n_words long, n_removed long, kept string"
