@@ -49,7 +49,7 @@ class Model:
     def backed_off(self, word: str) -> np.ndarray:
         marked, found = f"^{word}$", []
         for i in range(len(marked) - 1):
-            for n in range(min(LONGEST, len(marked) - i), 0, -1):
+            for n in range(min(LONGEST, len(marked) - i), int(i == 0), -1):  # not the mark alone
                 row = self.grams.get(marked[i : i + n])
                 if row is not None:
                     found.append(row)

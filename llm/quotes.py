@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from llm.common import pick, stored
 
-_MARKS = r"^\s*(?:>\s?)+"
+_MARKS = r"^\s*+(?:>\s?+)++"  # possessive: a long row of marks takes no stack
 _LINES = "array<struct<level:int,body:string>>"
 
 
