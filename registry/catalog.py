@@ -50,3 +50,8 @@ def portable(df: DataFrame) -> DataFrame:
         return column
 
     return df.select(*[shown(f) for f in df.schema.fields])
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The given small tables are one row group each, which one task would read: deal their rows to all cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

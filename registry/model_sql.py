@@ -7,10 +7,12 @@ are other models or raw tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from string import Formatter
 
 from registry.raw_tables import AS_OF, as_ctes, cte
 from rostrum import fixed_values as fv
+from rostrum.operators.quality import Check
 from rostrum.sources.schemas import STAGED_SHEETS
 
 _WS = "' ' || chr(9) || chr(10) || chr(13) || chr(160)"
@@ -447,3 +449,36 @@ def query_for(name: str, columns: str = "*", compat: bool = False) -> str:
     resolve(name, sql, seen)
     ctes = ",\n".join(f"{k} as materialized ({v})" for k, v in seen.items())
     return f"with {ctes}\nselect {columns} from {name}"
+
+
+def _failures(check: Check, table: str) -> str:
+    scope = f"({check.where})" if check.where else "true"
+    listed = ", ".join(check.columns)
+    if not check.is_row_local:
+        known = f" and {listed} is not null" if check.kind == "unique" else ""
+        return f"select count(*) from (select 1 from {table} where {scope}{known} group by {listed} having count(*) > 1)"
+    if check.kind == "not_null":
+        holds = f"{listed} is not null"
+    elif check.kind == "expression_is_true":
+        holds = check.expression
+    else:
+        limits = ((">", check.minimum), ("<", check.maximum))
+        equal = "=" if check.inclusive else ""
+        holds = " and ".join(f"{listed} {sign}{equal} {limit}" for sign, limit in limits if limit is not None)
+    return f"select count(*) from {table} where {scope} and not ({holds})"
+
+
+def report_for(checks: Mapping[str, Sequence[Check]]) -> str:
+    """All checks of all tables: how many rows or keys fail each."""
+    sql = model_sql(False)
+    seen: dict[str, str] = {}
+    lines = []
+    for table, rules in checks.items():
+        resolve(table, sql, seen)
+        for rule in rules:
+            name = rule.name.replace("'", "''")
+            at = table if table in sql else cte(table)
+            lines.append(f"select '{table}' as table_name, '{name}' as check_name, '{rule.severity}' as severity, ({_failures(rule, at)}) as failures")
+    ctes = ",\n".join(f"{k} as materialized ({v})" for k, v in seen.items())
+    union = "\nunion all ".join(lines)
+    return f"with {ctes}\nselect *, case when failures = 0 then 'pass' else severity end as status from ({union})"

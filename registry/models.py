@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from registry.catalog import QUERIES, SQL, portable
-from registry.model_sql import model_sql, query_for
+from registry.model_sql import model_sql, query_for, report_for
 from registry.raw_tables import AS_OF, RawTables
 from rostrum.plans.dashboards import speech_length_spread
 from rostrum.plans.marts import speeches_on_date
-from rostrum.plans.warehouse import MODELS, Warehouse
+from rostrum.plans.warehouse import CHECKS, MODELS, SHEET_CHECKS, Warehouse
 from rostrum.sources.schemas import STAGED_SHEETS
 from rostrum.sources.tables import shared_folder
 
@@ -79,7 +79,7 @@ for _name in _SWITCHED:
     _register(_name, compat=True)
 
 QUERIES["extract_speeches_on_date"] = lambda spark, d: speeches_on_date(
-    warehouse(spark, d).plan("mart_speeches"), "2016-03-04"
+    warehouse(spark, d).mart_speeches, "2016-03-04"
 )
 SQL["extract_speeches_on_date"] = query_for(
     "mart_speeches",
@@ -95,3 +95,4 @@ SQL["spread_of_speech_lengths"] = query_for(
 ) + " where member_party is not null group by member_party"
 
 QUERIES["quality_report_of_all_models"] = lambda spark, d: warehouse(spark, d).quality_report()
+SQL["quality_report_of_all_models"] = report_for(CHECKS | {f"sheet_{s}": c for s, c in SHEET_CHECKS.items()})

@@ -6,13 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from registry.catalog import portable, query
+from registry.catalog import dealt, portable, query
 from rostrum.functions import numeric as nm
 from rostrum.functions import text as tx
 from rostrum.operators import aggregate, dedupe, joins, lifecycle, quality, ranking, sets, temporal
 from rostrum.plans.dashboards import age_at_entry
 from rostrum.sources import tables
-from rostrum.sources.tables import load_table, shared_folder, spread
+from rostrum.sources.tables import load_table, shared_folder
 
 D = F.col
 
@@ -29,10 +29,13 @@ def scan_table(spark, d):
     return load_table(spark, d, "orders").drop("o_orderdate")
 
 
-@query("select p_partkey, p_name, p_brand, p_size::bigint as p_size, p_retailprice from part")
+@query("""select p_partkey, 'A ' || chr(34) || p_name || chr(34) || ', ' || chr(10) || 'x' as p_name, p_brand, p_size::bigint as p_size,
+          p_retailprice from part""")
 def scan_csv_with_declared_schema(spark, d):
+    """Names with quotes, commas and line breaks are written and read back."""
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    load_table(spark, d, "part").drop("p_type").write.option("header", True).csv(path)
+    parts = load_table(spark, d, "part").drop("p_type").withColumn("p_name", F.concat(F.lit('A "'), "p_name", F.lit('", \nx')))
+    parts.write.option("header", True).option("escape", '"').csv(path)
     return tables.read_sheet(
         spark, path,
         {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_size": "bigint", "p_retailprice": "double"},
@@ -156,7 +159,7 @@ def like_and_not_like(spark, d):
 @query("""select doc_id, lower(text) like '%there%' or lower(text) like '%licen%e%' or lower(text) like '%und%' as hit
           from documents""")
 def like_any_of(spark, d):
-    return spread(load_table(spark, d, "documents")).select(
+    return dealt(load_table(spark, d, "documents")).select(
         "doc_id", tx.like_any(F.lower("text"), ["%there%", "%licen%e%", "%und%"]).alias("hit")
     )
 
@@ -379,7 +382,7 @@ def hot_key_lookup(spark, d):
         "l_returnflag", F.when(D("l_returnflag") == "R", 11).otherwise(D("o_custkey")).alias("c_custkey")
     )
     customers = load_table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    return joins.hot_split_left_lookup(keyed, customers, ["c_custkey"]).groupBy("c_mktsegment", "l_returnflag").agg(
+    return joins.left_lookup(keyed, customers, ["c_custkey"]).groupBy("c_mktsegment", "l_returnflag").agg(
         F.count("*").alias("n")
     )
 
@@ -620,7 +623,7 @@ def string_cleaning(spark, d):
                   length(regexp_replace(text, '([0-9])([0-9])', '\2\1', 'g')) as swapped_length from documents""")
 def pattern_functions(spark, d):
     text = D("text")
-    return portable(spread(load_table(spark, d, "documents")).select(
+    return portable(dealt(load_table(spark, d, "documents")).select(
         "doc_id", tx.contains_ci(text, "Tion Of").alias("has_phrase"), text.rlike(r"[A-Z][a-z]+ly\b").alias("has_pattern"),
         tx.extract_or_null(text, r"(\w+)@\w+").alias("mailbox"),
         F.length(F.regexp_replace(text, "([0-9])([0-9])", "$2$1")).alias("swapped_length"),
@@ -706,7 +709,7 @@ def _counts(df):
 
 @query(f"select doc_id, {_COUNTS} from documents")
 def text_counts(spark, d):
-    return _counts(spread(load_table(spark, d, "documents")).select("doc_id", "text")).drop("text")
+    return _counts(dealt(load_table(spark, d, "documents")).select("doc_id", "text")).drop("text")
 
 
 @query(f"""select lang, count(*) as n, round(avg(206.835::double - 1.015::double * (words / nullif(sentences, 0))
@@ -714,7 +717,7 @@ def text_counts(spark, d):
            from (select lang, {_COUNTS} from documents) group by 1""")
 def readability_by_language(spark, d):
     score = tx.readability(D("words"), D("sentences"), D("syllables"))
-    return _counts(spread(load_table(spark, d, "documents")).select("lang", "text")).groupBy("lang").agg(
+    return _counts(dealt(load_table(spark, d, "documents")).select("lang", "text")).groupBy("lang").agg(
         F.count("*").alias("n"), F.round(F.avg(score), 4).alias("readability")
     )
 
@@ -756,7 +759,7 @@ _RULES = [("Finance", "money"), ("[Ww]hether", "question"), ("tion", "noun"), ("
                  (3, 'tion', 'noun'), (4, 'und', 'german'), (5, 'é', 'french')) r(i, p, label)
                  where regexp_matches(text, p)) as label from documents""")
 def classify_first_match(spark, d):
-    return spread(load_table(spark, d, "documents")).select("doc_id", tx.classify_first_match(D("text"), _RULES).alias("label"))
+    return dealt(load_table(spark, d, "documents")).select("doc_id", tx.classify_first_match(D("text"), _RULES).alias("label"))
 
 
 @query("""select p_partkey, case when p_type = 'ECONOMY' then 'Economy' when p_type = 'PROMO' then 'Promotion'
@@ -929,7 +932,7 @@ def check_accepted_range(spark, d):
 @query("select doc_id, n_chars from documents where lang <> 'de' and not (n_chars >= length(text) and n_chars < 3000)")
 def check_expression(spark, d):
     check = quality.expression_is_true("n_chars >= length(text) and n_chars < 3000", where="lang <> 'de'")
-    return quality.violations(spread(load_table(spark, d, "documents")), check).select("doc_id", "n_chars")
+    return quality.violations(dealt(load_table(spark, d, "documents")), check).select("doc_id", "n_chars")
 
 
 @query("""select 'lineitem' as table_name, * , case failures when 0 then 'pass' else severity end as status from (

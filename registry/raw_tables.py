@@ -14,7 +14,8 @@ from string import Formatter
 from pyspark.sql import DataFrame, SparkSession
 
 from rostrum import fixed_values as fv
-from rostrum.sources.tables import load_table, spread
+from registry.catalog import dealt
+from rostrum.sources.tables import load_table
 
 AS_OF = "2019-08-01"
 
@@ -242,7 +243,7 @@ class RawTables(dict):
             df = self.spark.sql(STATEMENTS[name], **{t: self[t] for t in reads(name)})
         else:
             df = load_table(self.spark, self.folder, name)
-            df = spread(df) if name in ("orders", "lineitem", "customer") else df
+            df = dealt(df) if name in ("orders", "lineitem", "customer") else df
         self[name] = df
         return df
 

@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostrum.operators.joins import left_lookup
-from rostrum.sources.tables import stored_once
+from rostrum.operators.joins import inner_lookup, left_lookup
 
 
 def with_all_level(
@@ -58,8 +57,8 @@ def quartiles(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     mergeable sketch cuts each group into seven slices, four of which are expected to
     be broad and three to tightly enclose a quartile. Slice counts tell in which slice
     an order statistic lies, and only those slices are ranked, after equal values have
-    been merged. The cut points change the cost, never the result. The merged values
-    are stored, since the slice counts and the ranking both read them.
+    been merged. The cut points change the cost, never the result. The merged values stream
+    past the few slices that are ranked, which Spark may broadcast if they measure small.
     """
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
@@ -72,7 +71,7 @@ def quartiles(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
         start=F.lit(0),
     )
     sliced = left_lookup(rows, cuts, keys, null_safe=keys).select(*keys, "__v", slice_no.alias("__s"))
-    merged = stored_once(sliced.groupBy(*keys, "__s", "__v").agg(F.count(F.lit(1)).alias("__n")))
+    merged = sliced.groupBy(*keys, "__s", "__v").agg(F.count(F.lit(1)).alias("__n"))
 
     per_slice = merged.groupBy(*keys, "__s").agg(
         F.sum("__n").alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
@@ -112,7 +111,7 @@ def quartiles(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     needed = hit.select(*keys, "__s", "__before").distinct()
     running = Window.partitionBy(*keys, "__s").orderBy("__v")
     ranked = (
-        left_lookup(needed, merged, [*keys, "__s"], null_safe=keys)
+        inner_lookup(merged, needed, [*keys, "__s"], null_safe=keys)
         .withColumn("__last", F.col("__before") + F.sum("__n").over(running) - 1)
         .withColumn("__first", F.col("__last") - F.col("__n") + 1)
         .select(*keys, "__s", "__v", "__first", "__last")

@@ -40,25 +40,10 @@ def left_lookup(
     )
 
 
-def hot_split_left_lookup(
-    facts: DataFrame, dimension: DataFrame, keys: Sequence[str], share: float = 0.01
-) -> DataFrame:
-    """Left lookup for a dimension that is unique by key and facts with known hot keys.
-
-    At most ``1 / share`` keys can hold ``share`` of all rows each, so the dimension
-    rows of hot keys are a bounded set and may be broadcast: rows of hot keys never
-    meet in one task. All other rows take the shuffled join.
-    """
+def inner_lookup(facts: DataFrame, dimension: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()) -> DataFrame:
+    """As ``left_lookup``, without the facts that find nothing."""
     keys = list(keys)
-    counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = facts.agg(F.count(F.lit(1)).alias("__total")).scalar()
-    hot = counts.filter(F.col("__n") >= share * total).select(*keys)
-    is_hot = _with_renamed_keys(hot, keys).withColumn("__hot", F.lit(True))
-    hot_rows = dimension.join(F.broadcast(hot), keys, "left_semi")
-    flagged = facts.join(F.broadcast(is_hot), _keys_match(keys, keys), "left").drop(*[_KEY + k for k in keys])
-    hot_part = left_lookup(flagged.filter("__hot"), F.broadcast(hot_rows), keys)
-    cold_part = left_lookup(flagged.filter("__hot is null"), dimension, keys)
-    return hot_part.unionByName(cold_part).drop("__hot")
+    return facts.join(_with_renamed_keys(dimension, keys), _keys_match(keys, null_safe)).drop(*[_KEY + k for k in keys])
 
 
 def canonical_lookup(
@@ -76,20 +61,21 @@ def reconcile_full(
 ) -> DataFrame:
     """Full outer join on keys; shared ``fill`` columns prefer the first side.
 
-    Rows with a NULL key can match nothing, so they go round the shuffle instead of
-    meeting in one task.
+    Each side is used once. Rows with a NULL key match nothing; a further key spreads them over all tasks.
     """
     keys, fill = list(keys), list(fill)
-    both = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    right = other.withColumnsRenamed({c: "__other_" + c for c in fill})
-    joined = (
-        preferred.filter(both)
-        .join(right.filter(both), keys, "full")
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+    def spread(side: DataFrame) -> DataFrame:
+        return side.withColumn("__spread", F.when(complete, F.lit(0).cast("bigint")).otherwise(F.xxhash64(*side.columns)))
+
+    right = spread(other).withColumnsRenamed({c: "__other_" + c for c in fill})
+    return (
+        spread(preferred)
+        .join(right, [*keys, "__spread"], "full")
         .withColumns({c: F.coalesce(c, "__other_" + c) for c in fill})
-        .drop(*["__other_" + c for c in fill])
+        .drop("__spread", *["__other_" + c for c in fill])
     )
-    loose = [side.filter(~both) for side in (preferred, other)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), loose, joined)
 
 
 def membership(df: DataFrame, column: str, members: DataFrame, name: str) -> DataFrame:

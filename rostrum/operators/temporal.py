@@ -66,28 +66,30 @@ def expand_intervals(
     start: str,
     end: str,
     as_of: Column | None = None,
+    near: Sequence[str] = (),
 ) -> DataFrame:
     """One row per interval and calendar date inside it (a range join without other keys).
 
     Intervals are listed by month and meet the month's dates. The calendar may be
-    broadcast: it holds at most one row per calendar day, whatever the data size. The
-    listed months are spread over all tasks first, because a small table of long
-    intervals grows many times over.
+    broadcast: cast to dates, it holds at most one row per calendar day, whatever the data
+    size. The listed months are dealt out before they grow to days, by ``near`` columns if
+    given: a grouping by month, those columns and more then needs no second shuffle. The
+    month stays as column ``__month``.
     """
     to_month = _BUCKETS["month"]
-    days = calendar.select(F.col(date).alias("__day")).distinct().withColumn("__month", to_month(F.col("__day")))
+    days = calendar.select(F.col(date).cast("date").alias("__day")).distinct().withColumn("__month", to_month(F.col("__day")))
     spread = (
         intervals.withColumn("__to", open_end(F.col(end), as_of))
         .filter(F.col(start) <= F.col("__to"))
         .withColumn("__iv_month", F.explode(F.sequence(to_month(F.col(start)), to_month(F.col("__to")))))
     )
-    tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = spread.repartition(tasks, "__iv_month", *intervals.columns)
+    spread = spread.repartition("__iv_month", *(near or intervals.columns))
     covered = (F.col("__iv_month") == F.col("__month")) & F.col("__day").between(F.col(start), F.col("__to"))
     return (
         spread.join(F.broadcast(days), covered, "inner")
         .withColumnRenamed("__day", date)
-        .drop("__month", "__iv_month", "__to")
+        .drop("__month", "__to")
+        .withColumnRenamed("__iv_month", "__month")
     )
 
 
@@ -103,12 +105,13 @@ def concurrent_positions_by_date(
 ) -> DataFrame:
     """Positions held by each key on each calendar date, with their number."""
     return (
-        expand_intervals(calendar, intervals, date, start, end, as_of)
-        .groupBy(date, *keys)
+        expand_intervals(calendar, intervals, date, start, end, as_of, keys)
+        .groupBy("__month", date, *keys)
         .agg(
             F.array_sort(F.collect_list(position)).alias("positions"),
             F.count(position).alias("count_positions"),
         )
+        .drop("__month")
     )
 
 
@@ -128,12 +131,12 @@ def open_count_by_date(
     closed = intervals.withColumn("__to", open_end(F.col(end), as_of)).filter(F.col(start) <= F.col("__to"))
     change = F.explode(
         F.array(
-            F.struct(F.col(start).alias("day"), F.lit(1).alias("step")),
+            F.struct(F.col(start).cast("date").alias("day"), F.lit(1).alias("step")),
             F.struct(F.date_add("__to", 1).alias("day"), F.lit(-1).alias("step")),
         )
     )
     steps = closed.select(change.alias("c")).groupBy(F.col("c.day").alias("day")).agg(F.sum("c.step").alias("step"))
-    days = calendar.select(F.col(date).alias("day")).distinct().withColumn("asked", F.lit(True))
+    days = calendar.select(F.col(date).cast("date").alias("day")).distinct().withColumn("asked", F.lit(True))
     timeline = days.join(steps, "day", "full")
     running = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
@@ -221,18 +224,19 @@ def neighbour(
     so that a hot key is sorted in as many tasks as it has buckets.
     """
     keys, order, values = list(keys), list(order), list(values)
-    marked = df.withColumn("__b", bucket)
+    # one struct is never NULL and takes NULLs inside as equal, so the window and the join share one shuffle and sort
+    marked = df.withColumn("__at", F.struct(*keys, bucket.alias("__b")))
     forward = offset > 0
-    inside = Window.partitionBy(*keys, "__b").orderBy(*order)
+    inside = Window.partitionBy("__at").orderBy(*order)
     step = F.lead if forward else F.lag
     record = F.struct(*values)
     local = marked.withColumn("__near", step(record, 1).over(inside))
 
     pick = F.min_by if forward else F.max_by
-    edges = marked.groupBy(*keys, "__b").agg(pick(record, F.struct(*order)).alias("__edge"))
+    edges = marked.groupBy("__at").agg(pick(record, F.struct(*order)).alias("__edge"))
     # one row per key and bucket
-    across = Window.partitionBy(*keys).orderBy("__b")
+    across = Window.partitionBy(*[F.col(f"__at.{k}") for k in keys]).orderBy("__at.__b")
     edges = edges.withColumn("__edge", step("__edge", 1).over(across))
-    joined = left_lookup(local, edges, [*keys, "__b"], null_safe=[*keys, "__b"])
+    joined = left_lookup(local, edges, ["__at"])
     near = F.coalesce("__near", "__edge")
-    return joined.withColumns({prefix + v: near[v] for v in values}).drop("__b", "__near", "__edge")
+    return joined.withColumns({prefix + v: near[v] for v in values}).drop("__at", "__near", "__edge")

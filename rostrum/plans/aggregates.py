@@ -15,7 +15,7 @@ def _by_month(df: DataFrame) -> DataFrame:
 
 
 def agg_speech_metrics_by_member(
-    speeches: DataFrame, attendance: DataFrame, party: DataFrame, ordered: bool = True
+    speeches: DataFrame, attendance: DataFrame, party: DataFrame, ordered: bool = False
 ) -> DataFrame:
     """Speech and attendance counts per member and month.
 
@@ -67,7 +67,7 @@ def agg_speech_metrics_by_member(
     return filled.orderBy("member_name", "parliament", "year", "month") if ordered else filled
 
 
-def agg_pri_questions_topics_by_member(speeches: DataFrame, ordered: bool = True) -> DataFrame:
+def agg_pri_questions_topics_by_member(speeches: DataFrame, ordered: bool = False) -> DataFrame:
     grain = ["parliament", "year", "month", "member_name", "member_constituency", "ministry_addressed"]
     counted = (
         _by_month(speeches.filter("is_primary_question and ministry_addressed is not null and member_name != ''"))

@@ -74,7 +74,7 @@ def dash_by_member_metrics(metrics: DataFrame, speeches: DataFrame) -> DataFrame
     )
 
 
-def dash_demographics(members: DataFrame, attendance: DataFrame, party: DataFrame, ordered: bool = True) -> DataFrame:
+def dash_demographics(members: DataFrame, attendance: DataFrame, party: DataFrame, ordered: bool = False) -> DataFrame:
     """Who sat in each parliament, and their age when they entered it."""
     entered = (
         attendance.filter("member_constituency is not null")

@@ -244,7 +244,9 @@ class Warehouse:
         return {name: getattr(self, name) for name in MODELS}
 
     def quality_report(self) -> DataFrame:
+        """Failures of all checks declared for models and spreadsheets."""
         parts = [q.report(getattr(self, model), checks, model) for model, checks in CHECKS.items()]
+        parts += [q.report(self.raw[f"sheet_{s}"], checks, f"sheet_{s}") for s, checks in SHEET_CHECKS.items()]
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,20 +18,16 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table stored in fewer pieces than there are cores.
+def read_sheet(spark: SparkSession, path: str, columns: Mapping[str, str]) -> DataFrame:
+    """An exported spreadsheet range: header row, declared types, nothing inferred.
 
-    Meant for costly work on small tables in one file; a table in many pieces stays
-    as it is.
+    Cells may hold quotes (doubled), commas and line breaks. A cell that is not of its declared type, or a row of another
+    length, fails the read. Sheets are small, so one that spans lines is read as a whole.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def read_sheet(spark: SparkSession, path: str, columns: Mapping[str, str]) -> DataFrame:
-    """An exported spreadsheet range: header row, declared types, nothing inferred."""
     schema = T.StructType([T.StructField(n, T.DataType.fromDDL(t)) for n, t in columns.items()])
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return spark.read.schema(schema).csv(
+        path, header=True, enforceSchema=False, mode="FAILFAST", quote='"', escape='"', multiLine=True
+    )
 
 
 def load_seed(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
@@ -39,10 +35,6 @@ def load_seed(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]
     return spark.createDataFrame(list(rows), schema=", ".join(f"{c} string" for c in columns))
 
 
-def read_seed_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    return read_sheet(spark, path, {c: "string" for c in columns})
-
-
 def topic_type_seed(spark: SparkSession) -> DataFrame:
     return load_seed(spark, fv.TOPIC_TYPES, ["section_type_code", "section_type_name"])
 
@@ -70,19 +62,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored_once(df: DataFrame) -> DataFrame:
-    """Store an intermediate result that several plans read, instead of recomputing it.
-
-    The written table survives the loss of executors and keeps column pruning.
-    """
-    return write_table(df, f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}")
-
-
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
 
 
 def materialise(df: DataFrame, name: str, kind: str, folder: str | None = None) -> DataFrame:
-    """``table`` is stored in full under the folder; ``view`` stays lazy."""
-    return write_table(df, f"{folder}/{name}") if kind == "table" else publish_view(df, name)
+    """``table`` is stored in full under the folder; ``view`` stays lazy, under the folder's and its own name."""
+    if kind == "table":
+        return write_table(df, f"{folder}/{name}")
+    return publish_view(df, f"{re.sub('[^A-Za-z0-9]+', '_', folder.rpartition('/')[2])}_{name}" if folder else name)

@@ -41,10 +41,31 @@ def test_full_reconcile_keeps_rows_without_key(table, rows):
     )
 
 
-def test_hot_split_lookup_equals_plain_lookup(table, rows):
-    facts = table("k int, n int", *[(1 if i % 3 else i, i) for i in range(300)], (None, 1000))
-    dimension = table("k int, name string", *[(i, f"d{i}") for i in range(0, 300, 2)], (1, "hot"))
-    assert rows(joins.hot_split_left_lookup(facts, dimension, ["k"], share=0.1)) == rows(joins.left_lookup(facts, dimension, ["k"]))
+def test_full_reconcile_uses_each_side_once(table, rows):
+    a = table("k string, v string, a int", *[(None, "n", i) for i in range(50)], ("x", "1", 1))
+    b = table("k string, v string, b int", *[(None, "m", i) for i in range(50)], ("x", "2", 2), ("y", "3", 3))
+    out = joins.reconcile_full(a, b, ["k"], fill=["v"])
+    assert out.count() == 102 and ("x", "1", 1, 2) in rows(out, "k", "v", "a", "b") and ("y", "3", None, 3) in rows(out, "k", "v", "a", "b")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 2
+
+
+def test_neighbour_shuffles_full_rows_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("at"), F.lit("text").alias("payload"))
+        out = temporal.neighbour(df, ["k"], ["at"], ["at"], F.floor(F.col("at") / 10))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # besides the rows: edges by key and bucket, by key, and by key and bucket again
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_quartiles_of_one_group_of_continuous_values(spark):
+    values = [((i * 7919) % 10_007) / 3.0 for i in range(10_007)]
+    got = aggregate.quartiles(spark.createDataFrame([(1, v) for v in values], "k int, v double"), ["k"], "v").first()
+    assert [got.q1, got.median, got.q3] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]))
 
 
 def _random_intervals(seed):
@@ -186,3 +207,14 @@ def test_tables_and_views_are_kept(spark, tmp_path):
     assert tables.materialise(spark.range(2), "t", "table", str(tmp_path)).count() == 2
     tables.materialise(df, "kept_view", "view")
     assert spark.table("kept_view").count() == 3
+
+
+def test_sheet_cells_may_hold_quotes_and_line_breaks_but_no_wrong_types(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text('name,n\n"A ""B"" C, D",1\n"two\nlines",2\n')
+    read = lambda: tables.read_sheet(spark, str(path), {"name": "string", "n": "bigint"}).collect()
+    assert [tuple(r) for r in read()] == [('A "B" C, D', 1), ("two\nlines", 2)]
+    for wrong in ("x,twelve", "x,1,more"):
+        path.write_text(f"name,n\n{wrong}\n")
+        with pytest.raises(Exception, match="(?i)malformed|failfast"):
+            read()
