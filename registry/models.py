@@ -37,7 +37,8 @@ _LISTS = {
 }
 # models in which a reading of the rules is switched by ``compat``
 _SWITCHED = [
-    "stg_members_member_of_parliament", "mart_speeches", "mart_bills", "agg_speech_metrics_by_member",
+    "stg_members_member_of_parliament", "dim_prep_member_positions", "dim_members", "mart_attendance", "mart_speeches",
+    "mart_bills", "agg_speech_metrics_by_member", "dash_by_member_metrics", "dash_topics", "dash_demographics",
 ]
 
 
