@@ -8,8 +8,9 @@ those of the larger partners it may have. A tile is the set of documents that li
 
 Within a tile, hashed bitmaps (one parity bit per hash value) bound the overlap from above: the bits that differ are at most
 the shingles that differ. Of the pairs that pass, a tile gives only those that would connect what isn't connected yet. They are
-checked by exact intersection of the sorted arrays; a tile that had a pair rejected is gone through again without it. So no
-group of n copies gives n * n pairs, and no link between classes is lost. Tiles with many members are cut into blocks.
+checked by exact intersection of the sorted arrays; a tile that had a pair rejected is gone through again without it, and then
+gives several pairs for each connection it needs, eight times as many in each round. So no group of n copies gives n * n pairs
+at once, and no link between classes is lost. Tiles with many members are cut into blocks.
 
 Sets are told apart by 64-bit hashes of their 64-bit shingle hashes.
 
@@ -97,8 +98,8 @@ def parts(sorted_hashes: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap(sorted_hashes: np.ndarray) -> bytes:
-    """Parity of the hashes that fall to each bit; four bits or more for each hash, a power of two."""
-    width = max(64, 1 << (4 * len(sorted_hashes) - 1).bit_length())
+    """Parity of the hashes that fall to each bit; eight bits or more for each hash, a power of two."""
+    width = max(64, 1 << (8 * len(sorted_hashes) - 1).bit_length())
     bits = np.bincount((sorted_hashes & np.uint64(width - 1)).astype("i8"), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
 
@@ -128,15 +129,18 @@ class Forest:
         return x != y
 
 
-def connecting_pairs(nodes, sizes, bitmaps, labels, rejected: set[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
-    """Pairs within a block that may be linked and connect different labels; as many as it takes to connect them."""
+def connecting_pairs(nodes, sizes, bitmaps, labels, rejected: set[tuple[int, int]], percent: int, layers: int = 1) -> list[tuple[int, int]]:
+    """Pairs within a block that may be linked and connect different labels.
+
+    As many as it takes to connect them, ``layers`` times over: pairs that one forest has no use for go to the next.
+    """
     if len(nodes) < 2:
         return []
     narrow = min(map(len, bitmaps)) // 8
     bits = np.stack([folded(np.frombuffer(b, "u8"), narrow) for b in bitmaps])
-    forest, found = Forest(labels), []
+    forests, found = [Forest(labels) for _ in range(layers)], []
     sizes = np.asarray(sizes, "i8")
-    left = len(set(labels)) - 1
+    left = layers * (len(set(labels)) - 1)
     for i in range(len(nodes) - 1):
         if not left:
             break
@@ -144,7 +148,7 @@ def connecting_pairs(nodes, sizes, bitmaps, labels, rejected: set[tuple[int, int
         both = sizes[i + 1 :] + sizes[i]
         for j in np.flatnonzero(differ * (100 + percent) <= both * (100 - percent)) + i + 1:
             pair = (min(nodes[i], nodes[j]), max(nodes[i], nodes[j]))
-            if pair not in rejected and forest.join(labels[i], labels[j]):
+            if labels[i] != labels[j] and pair not in rejected and any(f.join(labels[i], labels[j]) for f in forests):
                 found.append(pair)
                 left -= 1
     return found
@@ -209,11 +213,14 @@ def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame
     about = stored(sets.join(nodes, "node").select("node", "n_shingles", "bitmap"), "bitmaps")
     arrays = stored(arrays_of(nodes), "arrays")
 
-    def candidates(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def finder(layers: int):
+        return lambda key, left, right: candidates(layers, key, left, right)
+
+    def candidates(layers: int, key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         gone = set(zip(right["a"], right["b"], strict=True))
         left = left.drop_duplicates("node").sort_values(["n_shingles", "node"])
         pairs = connecting_pairs(
-            left["node"].tolist(), left["n_shingles"].tolist(), left["bitmap"].tolist(), left["label"].tolist(), gone, percent
+            left["node"].tolist(), left["n_shingles"].tolist(), left["bitmap"].tolist(), left["label"].tolist(), gone, percent, layers
         )
         return pd.DataFrame([(*key, *p) for p in pairs], columns=["key", "p", "q", "a", "b"])
 
@@ -223,7 +230,7 @@ def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame
             yield pd.DataFrame({"a": frame["a"], "b": frame["b"], "yes": np.array(yes, dtype=bool)})
 
     labels: DataFrame | None = None
-    rejects = spark.createDataFrame([], "key long, p int, q int, a long, b long")
+    rejects = spark.createDataFrame([], "a long, b long")
     first = tiles.filter(F.pmod("key", F.lit(FIRST_KEYS)) == 0)
     for some in (first, tiles):
         # blocks (p, q) of a tile: all members that fall to p or q
@@ -231,6 +238,7 @@ def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame
         own = F.pmod(F.xxhash64(F.lit(2), "node"), blocks).cast("int")
         cut = some.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         open_blocks = cut.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node")
+        layers = 1
         while True:
             if labels is None:
                 known = open_blocks.withColumn("label", F.col("node"))
@@ -238,8 +246,12 @@ def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame
                 known = open_blocks.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             mixed = known.groupBy("key", "p", "q").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m").select("key", "p", "q")
             todo = known.join(mixed, ["key", "p", "q"]).join(about, "node")
-            found = todo.groupBy("key", "p", "q").cogroup(rejects.groupBy("key", "p", "q")).applyInPandas(
-                candidates, "key long, p int, q int, a long, b long"
+            block = ["key", "p", "q"]
+            a, b = (todo.toDF(*todo.columns).select(*[F.col(c).alias(c) for c in block], F.col("node").alias(x)) for x in "ab")
+            # a rejected pair is known to every block that holds it
+            gone = a.join(rejects, "a").join(b, [*block, "b"])
+            found = todo.groupBy(*block).cogroup(gone.toDF(*gone.columns).groupBy(*block)).applyInPandas(
+                finder(layers), "key long, p int, q int, a long, b long"
             )
             found = stored(found, "candidates")
             x = arrays.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
@@ -249,11 +261,12 @@ def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame
             links = judged.filter("yes").select("a", "b")
             if not links.isEmpty():
                 labels = components(spark, links, labels)
-            wrong = stored(found.join(judged.filter("not yes"), ["a", "b"]).select("key", "p", "q", "a", "b"), "rejected")
+            wrong = judged.filter("not yes").select("a", "b")
             if wrong.isEmpty():
                 break
-            rejects = rejects.union(wrong)
-            open_blocks = open_blocks.join(wrong.select("key", "p", "q").distinct(), ["key", "p", "q"])
+            rejects = stored(rejects.union(wrong), "rejected")
+            open_blocks = stored(open_blocks.join(found.join(wrong, ["a", "b"]).select(*block).distinct(), block), "blocks")
+            layers *= 8
     return labels
 
 
