@@ -277,7 +277,7 @@ def model_sql(compat: bool = False) -> dict[str, str]:
                1 + count(*) over (partition by topic_id order by n desc range between unbounded preceding and current row)
                  - count(*) over (partition by topic_id, n) as place
         from (select q.topic_id, ministry_addressed, count(*) as n
-              from {{questions}} q {"join {spoken_by} using (speech_id)" if compat else ""}
+              from {{questions}} q join {{spoken_by}} using (speech_id)
               where ministry_addressed is not null group by all)"""
     procedural = "is_topic_constitutional" if compat else "is_topic_procedural"
     sql["mart_speeches"] = f"""

@@ -69,6 +69,9 @@ def mart_attendance(
     )
 
 
+_SPOKEN = ["member_name", "date", "parliament"]
+
+
 def _top_two(ranked: DataFrame) -> DataFrame:
     return primary_secondary(ranked, ["topic_id"], "ministry_addressed").withColumnsRenamed(
         {
@@ -80,22 +83,25 @@ def _top_two(ranked: DataFrame) -> DataFrame:
     )
 
 
-def topic_ministries(speeches: DataFrame, topics: DataFrame) -> DataFrame:
+def topic_ministries(speeches: DataFrame, topics: DataFrame, speakers: DataFrame) -> DataFrame:
     """Per topic the two ministries asked most, with their share of its questions.
 
     Works on texts in place: only short labels of speeches that name an office are
-    joined and counted.
+    joined and counted. A question counts once per row of its speaker on that day, as in
+    the mart itself.
     """
     text = F.col("text")
     asks, stood = tx.asks_a_minister(text), tx.stood_in_name(text)
     worded = computed_once(speeches.filter(asks | stood), stood=stood, words=tx.extract_minister_for(text))
     labels = (
-        worded.select("topic_id", "stood", tx.ministry_of(F.col("words")).alias("ministry_addressed"))
+        worded.select("topic_id", "stood", *_SPOKEN, tx.ministry_of(F.col("words")).alias("ministry_addressed"))
         .filter("ministry_addressed is not null")
-        .groupBy("topic_id", "stood", "ministry_addressed")
+        .groupBy("topic_id", "stood", "ministry_addressed", *_SPOKEN)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    typed = left_lookup(labels, topics.select("topic_id", "section_type"), ["topic_id"])
+    times = speakers.groupBy(*_SPOKEN).agg(F.count(F.lit(1)).alias("__times"))
+    labels = left_lookup(labels, times, _SPOKEN, null_safe=_SPOKEN[1:]).withColumn("n", F.col("n") * F.coalesce("__times", F.lit(1)))
+    typed = left_lookup(labels.drop("__times", *_SPOKEN), topics.select("topic_id", "section_type"), ["topic_id"])
     questions = typed.filter(F.col("stood") | F.col("section_type").isin(fv.PRIMARY_QUESTION_TYPES))
     return _top_two(rank_categories(questions, ["topic_id"], "ministry_addressed", weight="n"))
 
@@ -138,9 +144,7 @@ def mart_speeches(
 
     The rows that carry texts take part in three joins: the sitting calendar, all
     topic attributes at once, and all attributes of the speaker on that day at once.
-    ``compat`` repeats the constitutional flag as the procedural one, and lets a
-    question count towards its topic's ministries once per overlapping interval of its
-    speaker instead of once.
+    ``compat`` repeats the constitutional flag as the procedural one.
     """
     dated = left_lookup(
         speeches, sittings.select("date", "parliament", "session", "volume", "sittings"), ["date"]
@@ -149,8 +153,7 @@ def mart_speeches(
     about = topics.select(
         "topic_id", "title", "section_type", "section_type_name", "is_topic_constitutional", "is_topic_procedural"
     )
-    if not compat:
-        about = left_lookup(about, topic_ministries(speeches, topics), ["topic_id"])
+    about = left_lookup(about, topic_ministries(dated, topics, speakers), ["topic_id"])
     enriched = left_lookup(
         left_lookup(dated, about, ["topic_id"]),
         speakers,
@@ -162,8 +165,6 @@ def mart_speeches(
     enriched = computed_once(enriched, is_primary_question=primary, __words=words).withColumn(
         "ministry_addressed", tx.ministry_of(F.col("__words"))
     )
-    if compat:
-        enriched = left_lookup(enriched, _top_two(rank_categories(enriched, ["topic_id"], "ministry_addressed")), ["topic_id"])
     procedural = "is_topic_constitutional" if compat else "is_topic_procedural"
     seat = F.when(F.col("party") == fv.NOMINATED_PARTY, fv.NOMINATED_SEAT).otherwise(F.col("constituency"))
     return enriched.select(
