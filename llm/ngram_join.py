@@ -214,15 +214,18 @@ def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame
     arrays = stored(arrays_of(nodes), "arrays")
 
     def finder(layers: int):
-        return lambda key, left, right: candidates(layers, key, left, right)
+        def candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                out = []
+                for r in frame.itertuples(index=False):
+                    order = np.lexsort((r.nodes, r.sizes))
+                    nodes, sizes, labels = (np.asarray(x)[order].tolist() for x in (r.nodes, r.sizes, r.labels))
+                    gone = set() if r.a is None else set(zip(r.a.tolist(), r.b.tolist(), strict=True))
+                    pairs = connecting_pairs(nodes, sizes, [r.bitmaps[k] for k in order], labels, gone, percent, layers)
+                    out += [(r.key, r.p, r.q, *pair) for pair in pairs]
+                yield pd.DataFrame(out, columns=["key", "p", "q", "a", "b"])
 
-    def candidates(layers: int, key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        gone = set(zip(right["a"], right["b"], strict=True))
-        left = left.drop_duplicates("node").sort_values(["n_shingles", "node"])
-        pairs = connecting_pairs(
-            left["node"].tolist(), left["n_shingles"].tolist(), left["bitmap"].tolist(), left["label"].tolist(), gone, percent, layers
-        )
-        return pd.DataFrame([(*key, *p) for p in pairs], columns=["key", "p", "q", "a", "b"])
+        return candidates
 
     def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -250,9 +253,14 @@ def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame
             a, b = (todo.toDF(*todo.columns).select(*[F.col(c).alias(c) for c in block], F.col("node").alias(x)) for x in "ab")
             # a rejected pair is known to every block that holds it
             gone = a.join(rejects, "a").join(b, [*block, "b"])
-            found = todo.groupBy(*block).cogroup(gone.toDF(*gone.columns).groupBy(*block)).applyInPandas(
-                finder(layers), "key long, p int, q int, a long, b long"
+            # a block's members are bounded, so they may stand in one row
+            member = F.collect_list(F.struct("node", "n_shingles", "bitmap", "label")).alias("m")
+            pairs = gone.toDF(*gone.columns).groupBy(*block).agg(F.collect_list(F.struct("a", "b")).alias("gone"))
+            rows = todo.groupBy(*block).agg(member).join(pairs, block, "left").select(
+                *block, F.col("m.node").alias("nodes"), F.col("m.n_shingles").alias("sizes"), F.col("m.bitmap").alias("bitmaps"),
+                F.col("m.label").alias("labels"), F.col("gone.a").alias("a"), F.col("gone.b").alias("b"),
             )
+            found = rows.mapInPandas(finder(layers), "key long, p int, q int, a long, b long")
             found = stored(found, "candidates")
             x = arrays.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
             y = arrays.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
