@@ -4,8 +4,10 @@ A word met in training scores by its log frequency in each language. A word that
 the longest character n-gram that training has met there, then by shorter ones; its score is their mean. The language with the
 highest sum wins; the score is its share of the likelihood, with the evidence counted as that of at most ``EVIDENCE`` words.
 
-The model is fitted on a bounded sample of labelled rows (``MOST_DOCS``), chosen by a hash, and holds a bounded number of words
-and n-grams. Everything is counted by Spark; only those tables reach the driver.
+The model is fitted on a bounded number of labelled rows of each language (``MOST_DOCS``, all of smaller ones), chosen by a hash,
+and holds a bounded number of words and n-grams of each (``MOST_ENTRIES`` over all, ``LEAST_ENTRIES`` of each language at least),
+the most frequent ones in it. Relative frequencies are smoothed by one constant, so that a language with few rows is neither
+favoured nor hidden. Everything is counted by Spark; only those tables reach the driver, without zeros.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0. Without any labelled row every text is
 ``und``. Equal sums go to the language that comes first by name. Rows with a null label, text or id don't train. Rows stay one to
@@ -24,25 +26,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import ID, TEXT, clear, pick
+from llm.common import ID, TEXT, clear, discard, pick, stored
 
-MOST_DOCS = 20_000  # labelled documents that a model is fitted on
-MOST_WORDS, MOST_GRAMS = 100_000, 100_000  # the most frequent ones, over all languages
+MOST_DOCS = 20_000  # labelled documents of each language that a model is fitted on
+MOST_ENTRIES, LEAST_ENTRIES = 200_000, 5_000  # words, and as many n-grams: over all languages, but so many of each at least
 LONGEST = 4
 EVIDENCE = 20
-KEPT = 250_000  # unseen words of which a worker keeps the scores
+KEPT = 1_000_000  # scores of unseen words that a worker keeps
 UNDETERMINED = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 
 
+class Table:
+    """Log frequencies above the floor by language, and whether two documents have the entry; zeros are left out."""
+
+    def __init__(self, rows: np.ndarray, n_rows: int, langs: np.ndarray, scores: np.ndarray, firm: np.ndarray):
+        order = np.argsort(rows, kind="stable")
+        self.ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n_rows))])
+        self.langs, self.scores, self.firm = langs[order].astype("i4"), scores[order].astype("f4"), firm[order]
+
+    def total(self, at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+        """Sums over the rows ``at``, one for each of n languages."""
+        begin, size = self.ends[at], self.ends[at + 1] - self.ends[at]
+        places = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+        return np.bincount(self.langs[places], weights=values[places], minlength=n)
+
+
 class Model:
-    """Log frequencies by language: one row per known word or n-gram, one column per language."""
+    """Scores by language of known words and n-grams."""
 
-    def __init__(self, languages: list[str], words: dict[str, list[float]], grams: dict[str, list[float]]):
-        self.languages = languages
-        self.rows = {w: k for k, w in enumerate(words)}
-        self.scores = np.array(list(words.values()), dtype="f4").reshape(-1, max(1, len(languages)))
-        self.grams = {g: np.array(v, dtype="f4") for g, v in grams.items()}
+    def __init__(self, languages: list[str], words: dict[str, int], word_table: Table, grams: dict[str, int], gram_table: Table):
+        self.languages, self.rows, self.grams = languages, words, grams
+        self.words, self.pieces = word_table, gram_table
         self.known = len(words)
         self.unseen: list[np.ndarray] = []
 
@@ -54,7 +69,8 @@ class Model:
                 if row is not None:
                     found.append(row)
                     break
-        return np.mean(found, axis=0) if found else np.zeros(len(self.languages), "f4")
+        n = len(self.languages)
+        return self.pieces.total(np.array(found), self.pieces.scores, n) / len(found) if found else np.zeros(n)
 
     def row_of(self, word: str) -> int:
         k = self.rows.get(word)
@@ -62,21 +78,23 @@ class Model:
             k = self.known + len(self.unseen)
             if len(word) <= 64:
                 self.rows[word] = k
-            self.unseen.append(self.backed_off(word))
+            self.unseen.append(self.backed_off(word).astype("f4"))
         return k
 
     def forget_unseen(self) -> None:
-        if len(self.unseen) > KEPT:
+        if len(self.unseen) * len(self.languages) > KEPT:
             self.rows = {w: k for w, k in self.rows.items() if k < self.known}
             self.unseen.clear()
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = _LETTERS.findall(text.lower()) if text else []
+        return self._best(_LETTERS.findall(text.lower()) if text else [])
+
+    def _best(self, words: list[str]) -> tuple[str, float]:
         if not words or not self.languages:
             return UNDETERMINED, 0.0
         at = np.array(list(map(self.row_of, words)))
         seen = at < self.known
-        total = self.scores[at[seen]].sum(axis=0, dtype="f8")
+        total = self.words.total(at[seen], self.words.scores, len(self.languages))
         for k in at[~seen]:
             total = total + self.unseen[k - self.known]
         self.forget_unseen()
@@ -85,31 +103,66 @@ class Model:
         return self.languages[best], float(1 / np.exp((total - total[best]) * weight).sum())
 
 
+def _sampled(rows: DataFrame, most: int) -> DataFrame:
+    """About ``most`` rows of each language, all of smaller ones."""
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("_n"))  # one row per language
+    chance = F.least(F.lit(1.0), F.lit(float(most)) / F.col("_n")) * float(1 << 40)
+    return rows.join(F.broadcast(sizes), "lang").filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40)) < chance).drop("_n")
+
+
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The keys that are among the ``most`` frequent of some language; of equal counts at the edge, a share by hash.
+
+    No language is ranked in one task: its edge is read off how many keys there are of each count.
+    """
+    cut, held = {}, {}
+    for r in counts.groupBy("lang", "count").agg(F.count("*").alias("n")).orderBy("lang", F.desc("count")).collect():
+        if r.lang not in cut:
+            before = held.get(r.lang, 0)
+            held[r.lang] = before + r.n
+            if held[r.lang] > most:
+                cut[r.lang] = (r["count"], (most - before) / r.n)
+    if not cut:
+        return counts
+    edges = counts.sparkSession.createDataFrame([(k, c, share) for k, (c, share) in cut.items()], "lang string, _cut long, _share double")
+    at = F.broadcast(edges)
+    lot = F.pmod(F.xxhash64("key"), F.lit(1 << 40)) < F.col("_share") * float(1 << 40)
+    top = counts.join(at, "lang", "left").filter(F.col("_cut").isNull() | (F.col("count") > F.col("_cut")) | ((F.col("count") == F.col("_cut")) & lot))
+    return counts.join(top.select("key").distinct(), "key", "left_semi")
+
+
 def fit(labelled: DataFrame, id_col: str = ID, text: str = TEXT, lang: str = "lang", most_docs: int = MOST_DOCS) -> Model:
     """Fit on rows that have id, text and label."""
     rows = pick(labelled, id=id_col, text=text, lang=lang).dropna()
-    n = rows.count()
-    sample = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, most_docs / max(n, 1))))
-    words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("word")).groupBy("lang", "word").count()
-    marked = F.concat(F.lit("^"), "word", F.lit("$"))
+    sample = _sampled(rows, most_docs).select("lang", F.xxhash64("id", "text").alias("doc"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("key"))
+    words = stored(sample.groupBy("lang", "key").agg(F.count("*").alias("count"), (F.min("doc") < F.max("doc")).alias("firm")), "words")
+    marked = F.concat(F.lit("^"), "key", F.lit("$"))
     places = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - k + 1, F.lit(1))), lambda i: marked.substr(i, F.lit(k)))
-    pieces = words.select("lang", F.explode(F.concat(*[places(k) for k in range(1, LONGEST + 1)])).alias("gram"), "count")
-    grams = pieces.groupBy("lang", "gram").agg(F.sum("count").alias("count"))
+    pieces = words.select("lang", F.explode(F.concat(*[places(k) for k in range(1, LONGEST + 1)])).alias("key"), "count", "firm")
+    grams = stored(pieces.groupBy("lang", "key").agg(F.sum("count").alias("count"), F.bool_or("firm").alias("firm")), "grams")
     totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("count").alias("n")).collect()}
     sums = {r.lang: r.n for r in grams.groupBy("lang").agg(F.sum("count").alias("n")).collect()}
     languages = sorted(totals)
+    most = max(LEAST_ENTRIES, MOST_ENTRIES // max(1, len(languages)))
 
-    def table(counts: DataFrame, key: str, most: int, whole: dict[str, int]) -> dict[str, list[float]]:
-        by_lang = F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by")  # as many entries as languages
-        top = counts.groupBy(key).agg(F.sum("count").alias("n"), by_lang).orderBy(F.desc("n"), key).limit(most).collect()
-        return {r[key]: [math.log((r.by.get(x, 0) + 0.5) / (whole[x] + 0.5 * len(top))) for x in languages] for r in top}
+    def table(counts: DataFrame, whole: dict[str, int]) -> tuple[dict[str, int], Table]:
+        found = _most_frequent(counts, most).toArrow()  # flat, since rows of Python objects take ten times the memory
+        keys, names = (found[c].combine_chunks().dictionary_encode() for c in ("key", "lang"))
+        number = {x: k for k, x in enumerate(languages)}
+        langs = np.array([number[x] for x in names.dictionary.to_pylist()], dtype="i4")[names.indices.to_numpy()]
+        floor = 0.5 / max(whole.values(), default=1)  # half an occurrence in the largest language
+        scores = np.log1p(found["count"].to_numpy() / np.array([whole[x] for x in languages])[langs] / floor)
+        held = {w: k for k, w in enumerate(keys.dictionary.to_pylist())}
+        return held, Table(keys.indices.to_numpy(), len(held), langs, scores, found["firm"].to_numpy())
 
-    return Model(languages, table(words, "word", MOST_WORDS, totals), table(grams, "gram", MOST_GRAMS, sums))
+    model = Model(languages, *table(words, totals), *table(grams, sums))
+    discard(words, grams)
+    return model
 
 
 def predict(docs: DataFrame, model: Model, text: str = TEXT) -> DataFrame:
     """``docs`` with lang_pred and score."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_WORDS and MOST_GRAMS
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded for each language
     kind = T.StructType().add("lang_pred", "string").add("score", "double")
 
     @F.pandas_udf(kind)

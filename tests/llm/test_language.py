@@ -53,3 +53,18 @@ def test_the_sample_is_bounded(spark):
     rows = [(k, f"word{k % 7} text", "en") for k in range(3000)]
     model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_docs=200)
     assert model.languages == ["en"] and len(model.rows) <= 8
+
+
+def test_rare_languages_are_learned(spark, monkeypatch):
+    """A few rows of two languages, one in a script of its own, among many of a language with a large vocabulary."""
+    monkeypatch.setattr(language, "MOST_ENTRIES", 600, raising=False)
+    monkeypatch.setattr(language, "LEAST_ENTRIES", 200, raising=False)
+    monkeypatch.setattr(language, "MOST_WORDS", 200, raising=False)
+    monkeypatch.setattr(language, "MOST_GRAMS", 200, raising=False)
+    many = [(k, f"the cat{'abcdefghij'[k % 10]} sat on mat{'klmnopqrst'[k // 10 % 10]} and {'uvwxyz'[k % 6] * 3}{'abcdefghij'[k // 60 % 10]}", "en") for k in range(3000)]
+    few = [(9000 + k, "minä olen täällä tänään", "fi") for k in range(3)] + [(9100 + k, "καλημέρα κόσμε", "el") for k in range(3)]
+    model = language.fit(spark.createDataFrame(many + few, "doc_id long, text string, lang string"), most_docs=100)
+    assert model.languages == ["el", "en", "fi"]
+    assert model.predict("olen täällä")[0] == "fi" and model.predict("κόσμε")[0] == "el" and model.predict("κόσμος")[0] == "el"
+    assert model.predict("the cata sat")[0] == "en"
+    assert len(model.rows) <= 700 and model.predict("κόσμος")[1] > 0.5
