@@ -9,6 +9,9 @@ and holds a bounded number of words and n-grams of each (``MOST_ENTRIES`` over a
 the most frequent ones in it. Relative frequencies are smoothed by one constant, so that a language with few rows is neither
 favoured nor hidden. Everything is counted by Spark; only those tables reach the driver, without zeros.
 
+``judge`` also tells how well a text fits its language: the mean over its words, where a word that at least two labelled rows of
+the language have counts 1, and any other the share of its n-grams that such words have.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0. Without any labelled row every text is
 ``und``. Equal sums go to the language that comes first by name. Rows with a null label, text or id don't train. Rows stay one to
 one; columns named like the results are replaced.
@@ -33,6 +36,7 @@ MOST_ENTRIES, LEAST_ENTRIES = 200_000, 5_000  # words, and as many n-grams: over
 LONGEST = 4
 EVIDENCE = 20
 KEPT = 1_000_000  # scores of unseen words that a worker keeps
+NORM_DOCS = 1_000  # labelled documents of each language that the usual fit is taken from
 UNDETERMINED = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 
@@ -60,6 +64,8 @@ class Model:
         self.words, self.pieces = word_table, gram_table
         self.known = len(words)
         self.unseen: list[np.ndarray] = []
+        self.fits: dict[tuple[str, int], float] = {}
+        self.norms: dict[int, float] = {}  # median fit of labelled rows by language
 
     def backed_off(self, word: str) -> np.ndarray:
         marked, found = f"^{word}$", []
@@ -102,6 +108,53 @@ class Model:
         weight = min(len(words), EVIDENCE) / len(words)
         return self.languages[best], float(1 / np.exp((total - total[best]) * weight).sum())
 
+    def _is_firm(self, table: Table, row: int | None, lang: int) -> bool:
+        if row is None:
+            return False
+        part = slice(table.ends[row], table.ends[row + 1])
+        return bool((table.firm[part] & (table.langs[part] == lang)).any())
+
+    def fit_of(self, word: str, lang: int) -> float:
+        found = self.fits.get((word, lang))
+        if found is None:
+            row, marked = self.rows.get(word), f"^{word}$"
+            if self._is_firm(self.words, row if row is not None and row < self.known else None, lang):
+                found = 1.0
+            else:
+                pieces = [marked[i : i + LONGEST] for i in range(max(1, len(marked) - LONGEST + 1))]
+                found = sum(self._is_firm(self.pieces, self.grams.get(g), lang) for g in pieces) / len(pieces)
+            if len(self.fits) > KEPT // 2:
+                self.fits.clear()
+            if len(word) <= 64:
+                self.fits[word, lang] = found
+        return found
+
+    def judge(self, text: str | None) -> tuple[str, float, float, float]:
+        """Language, score, fit, and the number of words; long ones count as several."""
+        words = _LETTERS.findall(text.lower()) if text else []
+        lang, score = self._best(words)
+        if lang == UNDETERMINED and not (words and self.languages):
+            return lang, score, 0.0, 0.0
+        k = self.languages.index(lang)
+        fit = sum(self.fit_of(w, k) for w in words) / len(words)
+        return lang, score, fit, max(len(words), sum(map(len, words)) / 8)
+
+    def fits_badly(self, text: str | None) -> bool:
+        """Whether a text fits its language less than half as well as labelled rows do, by more than two standard errors."""
+        lang, _, fit, n = self.judge(text)
+        norm = self.norms.get(self.languages.index(lang), 0.0) if n else 0.0
+        return n > 0 and fit < norm / 2 - 1 / math.sqrt(n)
+
+
+    def belongs(self, text: str | None) -> bool:
+        """Has letters, speaks for one language more than for the others, and fits it. Without languages, has letters."""
+        if not text or not _LETTERS.search(text):
+            return False
+        n = len(self.languages)
+        if n > 1 and self.predict(text)[1] <= (1 + 1e-6) / n:
+            return False
+        return n == 0 or not self.fits_badly(text)
+
 
 def _sampled(rows: DataFrame, most: int) -> DataFrame:
     """About ``most`` rows of each language, all of smaller ones."""
@@ -160,6 +213,22 @@ def fit(labelled: DataFrame, id_col: str = ID, text: str = TEXT, lang: str = "la
     return model
 
 
+def with_norms(model: Model, labelled: DataFrame, id_col: str = ID, text: str = TEXT, lang: str = "lang") -> Model:
+    """The model, knowing how well labelled rows fit their languages: medians of about ``NORM_DOCS`` rows of each."""
+    rows = _sampled(pick(labelled, id=id_col, text=text, lang=lang).dropna(), NORM_DOCS)
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(T.StructType().add("lang_pred", "string").add("fit", "double"))
+    def judged(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in parts:
+            yield pd.DataFrame([sent.value.judge(t)[::2] for t in texts], columns=["lang_pred", "fit"])
+
+    right = rows.withColumn("j", judged("text")).filter("lang = j.lang_pred")
+    norms = right.groupBy("lang").agg(F.percentile_approx("j.fit", 0.5).alias("norm")).collect()
+    model.norms = {model.languages.index(r.lang): r.norm for r in norms}
+    return model
+
+
 def predict(docs: DataFrame, model: Model, text: str = TEXT) -> DataFrame:
     """``docs`` with lang_pred and score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded for each language
@@ -175,6 +244,18 @@ def predict(docs: DataFrame, model: Model, text: str = TEXT) -> DataFrame:
     return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
 
 
+def belonging(docs: DataFrame, model: Model, text: str = TEXT) -> DataFrame:
+    """The rows whose text belongs to a language of the model, which needs ``with_norms``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def belongs(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            yield pd.Series([sent.value.belongs(t) for t in texts], dtype=bool)
+
+    return docs.filter(belongs(text))
+
+
 def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 

@@ -35,6 +35,19 @@ def test_language_keeps_what_it_knows(spark, raw):
     assert {r.doc_id for r in got.collect()} == want and want >= {r.doc_id for r in raw.collect()} and 9004 in want
 
 
+def test_foreign_and_junk_documents_go_and_short_ones_stay(spark, raw):
+    polish = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa"
+    italian = "tutti gli esseri umani nascono liberi ed eguali in dignità e diritti essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza"
+    junk = " ".join("qzx vwk jjq xkcd zzq pqw vbn mxz qqk hjk wwx".split() * 3)
+    bad = [(9001, polish, None), (9002, italian, None), (9003, junk, None), (9004, polish[::-1], "en"), (9005, "asdfkjhqweoiruzxcvmnb" * 10, "de")]
+    clean = [r for r in raw.collect() if len(r.text.split()) > 8]
+    short = [(9100 + k, " ".join(r.text.split()[:size]), None) for k, (r, size) in enumerate(zip(clean, [3, 5, 8] * 100, strict=False))]
+    odd = spark.createDataFrame(bad + short, "doc_id long, text string, lang string")
+    got = {r.doc_id for r in pipeline.identify_language(spark, raw.unionByName(odd, allowMissingColumns=True), FOLDER).collect()}
+    assert not got & {i for i, _, _ in bad}
+    assert got >= {r.doc_id for r in raw.collect()} | {i for i, t, _ in short if any(c.isalpha() for c in t)}
+
+
 def test_one_document_of_each_class_stays(spark, raw):
     odd = spark.createDataFrame([(9001, None), (9002, " "), (9002, " "), (9003, "a b c d e f"), (9003, "a b c d e f"), (None, "a b c d e f")], "doc_id long, text string")
     docs = raw.select("doc_id", "text").union(odd)
