@@ -1,6 +1,8 @@
 """Document fingerprints of closed syncmers, for positional matching.
 
-A text is read as tokens of up to five non-blank characters, begun anew at each word. A run of k tokens is an anchor if the least
+A text is read as tokens of up to five non-blank characters, begun anew at each word. In a stretch without blanks of more than
+``LONG`` characters (Chinese, long addresses, encoded data) they also begin anew wherever the three characters before have
+a hash that says so, one place in four, so that what stands before a passage shifts only its first tokens. A run of k tokens is an anchor if the least
 of its inner runs of s tokens stands first or last in it. That depends on the run alone, so equal passages have equal anchors
 wherever they stand, and every passage has one within a bounded distance. In front of a text stand k - 1 empty tokens; runs that
 reach into them are anchors too, so that short texts have some. The fingerprint lists the anchors' 32-bit codes in order.
@@ -24,11 +26,28 @@ from llm.common import ID, TEXT, pick
 K, S = 8, 2
 ROWS_PER_RANGE, MOST_RANGES, SEGMENTS = 1000, 1 << 16, 128
 EMPTY = -1
+LONG, ANEW = 20, 4
+
+
+def _broken(run: Column) -> Column:
+    """A run with blanks where tokens begin anew; by characters, since cutting a long string at many places takes squared time."""
+
+    def cut(chars: Column) -> Column:
+        anew = lambda i: (i >= 3) & (F.pmod(F.xxhash64(*[F.get(chars, i - j) for j in (3, 2, 1)]), F.lit(ANEW)) == 0)
+        return F.array_join(F.transform(chars, lambda c, i: F.when(anew(i), F.concat(F.lit(" "), c)).otherwise(c)), "")
+
+    return F.get(F.transform(F.array(F.split(run, "")), cut), F.lit(0))
+
+
+def tokens_of(text: Column) -> Column:
+    runs = F.transform(F.regexp_extract_all(text, F.lit(r"(\S+)")), lambda r: F.when(F.length(r) > LONG, _broken(r)).otherwise(r))
+    broken = F.when(text.rlike(rf"\S{{{LONG + 1}}}"), F.array_join(runs, " ")).otherwise(text)
+    return F.regexp_extract_all(broken, F.lit(r"(\S{1,5})"))
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
     """Codes (of 32 bits) of a text's anchors, in order."""
-    hashes = F.transform(F.regexp_extract_all(text, F.lit(r"(\S{1,5})")), lambda t: F.xxhash64(t))
+    hashes = F.transform(tokens_of(text), lambda t: F.xxhash64(t))
     padded = F.concat(F.array_repeat(F.lit(EMPTY).cast("long"), k - 1), hashes)
     n = F.size(padded)
 

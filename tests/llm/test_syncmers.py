@@ -1,12 +1,15 @@
 """Fingerprints against a direct computation."""
 
 import hashlib
+import random
 import re
 import struct
 
 import xxhash
+from pyspark.sql import functions as F
 
 from llm import syncmers
+from llm.common import pick
 
 
 def spark_hash(values):
@@ -56,3 +59,13 @@ def test_small_tables(docs):
     twice = syncmers.fingerprint_report(docs("b b b", "a a a", ids=[1, 1])).collect()
     assert sorted(r.edited_sha256 for r in twice) == sorted(hashlib.sha256(t.encode()).hexdigest() for t in ("a a b", "b b a"))
     assert len(syncmers.fingerprint_report(docs(None, "x", ids=[None, None])).collect()) == 2
+
+
+def test_a_shifted_passage_without_blanks_keeps_its_anchors(docs):
+    rnd = random.Random(5)
+    for letters in ("".join(map(chr, range(0x4E00, 0x5200))), "abcdefghijklmnopqrstuvwxyz0123456789/+"):
+        passage = "".join(rnd.choice(letters) for _ in range(3000))
+        texts = [passage, letters[0] + passage, letters[:2] + passage, passage[:1500] + letters[7] + passage[1500:], "see " + passage[3:]]
+        rows = pick(docs(*texts), "doc_id", "text").select("doc_id", syncmers.anchors(F.col("text")).alias("codes")).collect()
+        whole, *others = [set(r.codes) for r in sorted(rows, key=lambda r: r.doc_id)]
+        assert all(dice(whole, other) > 0.9 for other in others)
