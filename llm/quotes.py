@@ -1,9 +1,9 @@
 """Quotation linking: whom a message answers, told by the passages it quotes.
 
 Lines that begin with ``>`` are quoted, at the level of how many such marks stand before them. Consecutive quoted lines of one
-level are a passage. Passages are normalised (marks off, lower case, white space made one blank) and hashed as a whole and by
-line. Every message's own text is hashed likewise: as a whole, by paragraph and by line. A passage belongs to the earliest
-message of the conversation that has its hash, if that is an earlier one; the whole counts before lines. A message's parent is the original of
+level are a passage. Passages are normalised (marks off, lower case, white space made one blank) and hashed as a whole, by
+paragraph and by line. Every message's own text is hashed likewise: as a whole, by paragraph and by line. A passage belongs to the earliest
+message of the conversation that has its hash, if that is an earlier one; the whole counts before paragraphs, and these before lines. A message's parent is the original of
 its first passage of the least level that has one. Following parents leads to the message that began the exchange. In reply
 order, exchanges stand by the turn that began them, and messages within one by their own turn.
 
@@ -67,7 +67,9 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
     passages = rows.filter(F.size("passages") > 0).select("conv_id", "turn", F.posexplode("passages").alias("at", "passage"))
     whole = _hashes(F.array(F.array_join("passage.lines", "\n")))
-    kinds = F.concat(F.transform(whole, lambda h: F.struct(F.lit(0).alias("kind"), h.alias("hash"))), F.transform(_hashes(F.col("passage.lines")), lambda h: F.struct(F.lit(1).alias("kind"), h.alias("hash"))))
+    paragraphs = _hashes(F.split(F.array_join("passage.lines", "\n"), r"\n\s*\n"))
+    of_kind = lambda k, hashes: F.transform(hashes, lambda h: F.struct(F.lit(k).alias("kind"), h.alias("hash")))
+    kinds = F.concat(of_kind(0, whole), of_kind(1, paragraphs), of_kind(2, _hashes(F.col("passage.lines"))))
     quoted = passages.select("conv_id", "turn", "at", F.col("passage.level").alias("level"), F.explode(kinds).alias("q")).select("conv_id", "turn", "at", "level", "q.*")
     met = quoted.join(first, ["conv_id", "hash"]).filter("said < turn")
     best = F.min_by("said", F.struct("level", "at", "kind", "said"))

@@ -83,3 +83,11 @@ def test_replies_stand_behind_what_they_answer(spark):
     got = quotes.conversation_report(spark.createDataFrame(rows, MESSAGES).repartition(4)).collect()
     assert [r.turn for r in got] == [0, 2, 3, 1, 4]
     assert got[1].message == "<|a|>\nre\n<|end|>"
+
+
+def test_paragraphs_of_a_rewrapped_quote(spark):
+    first = "One two three four.\n\nFive six seven eight nine ten.\n\nEleven twelve thirteen."
+    reply = "> five six seven\n> eight nine ten.\n>\n> eleven\n> twelve thirteen.\nIndeed."
+    rows = [(1, 0, "a", first, "c", 1), (1, 1, "b", "eleven", "c", 1), (1, 2, "b", reply, "c", 1)]
+    got = {r.turn: r.parent_turn for r in quotes.link_quotes(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert got == {0: None, 1: None, 2: 0}  # a paragraph counts before the line "eleven"
