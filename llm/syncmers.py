@@ -1,4 +1,4 @@
-"""Document fingerprints of closed syncmers, for positional matching.
+"""Document fingerprints of closed syncmers. Anchors stand in order, but likeness doesn't match positions.
 
 A text is read as tokens of up to five non-blank characters, begun anew at each word. In a stretch without blanks of more than
 ``LONG`` characters (Chinese, long addresses, encoded data) they also begin anew wherever the three characters before have
