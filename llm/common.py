@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ID, TEXT = "doc_id", "text"
@@ -78,3 +78,21 @@ def discard(*frames: DataFrame) -> None:
         for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def numbered(df: DataFrame, *order: Column, name: str = "no") -> DataFrame:
+    """A stored copy with consecutive numbers from 0 in the given order, without any global sort in one task.
+
+    Rows fall into sorted ranges; the number is that within the range plus the rows of the ranges before, of which there are as
+    many as shuffle partitions. Rows that are equal in all of ``order`` fall into one range, so give a last key that differs.
+    """
+    spark, names = df.sparkSession, df.columns
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = stored(ranged, name).withColumn("_range", F.shiftright("_at", 33))
+    before, offsets = 0, []
+    for r in sorted(ranged.groupBy("_range").count().collect()):  # one row per shuffle partition
+        offsets.append((r[0], before))
+        before += r["count"]
+    known = spark.createDataFrame(offsets, "_range long, _before long")
+    out = ranged.join(F.broadcast(known), "_range")
+    return out.select(*names, (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
