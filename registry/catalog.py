@@ -53,5 +53,6 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """The given small tables are one row group each, which one task would read: deal their rows to all cores."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    """A table of fewer files than cores, which as many tasks would read: deal its rows to all cores. Larger ones stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < min(cores, 64) else df

@@ -11,9 +11,9 @@ from registry.model_sql import model_sql, query_for, report_for
 from registry.raw_tables import AS_OF, RawTables
 from rostrum.plans.dashboards import speech_length_spread
 from rostrum.plans.marts import speeches_on_date
-from rostrum.plans.warehouse import CHECKS, MODELS, SHEET_CHECKS, Warehouse
-from rostrum.sources.schemas import STAGED_SHEETS
-from rostrum.sources.tables import shared_folder
+from rostrum.plans.warehouse import CHECKS, MODELS, RAW_TABLES, SHEET_CHECKS, Warehouse
+from rostrum.sources.schemas import SHEETS, STAGED_SHEETS
+from rostrum.sources.tables import kept_aside, shared_folder
 
 _INTERVAL = ["effective_from_date", "effective_to_date"]
 _BILL = ["first_reading_date", "second_reading_date", "passed_date"]
@@ -43,6 +43,14 @@ _SWITCHED = [
 
 
 _WAREHOUSES: dict[tuple, Warehouse] = {}
+_RAW: dict[tuple, dict] = {}
+
+
+def store_raw_tables(spark, folder) -> None:
+    """Write the derived raw tables once; warehouses of this session and folder read them from then on."""
+    derived = RawTables(spark, folder)
+    names = [*RAW_TABLES, *(f"sheet_{s}" for s in SHEETS)]
+    _RAW[spark.sparkContext.applicationId, folder] = {name: kept_aside(derived[name]) for name in names}
 
 
 def warehouse(spark, folder, compat=False) -> Warehouse:
@@ -50,7 +58,8 @@ def warehouse(spark, folder, compat=False) -> Warehouse:
     key = (spark.sparkContext.applicationId, folder, compat)
     if key not in _WAREHOUSES:
         kept = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-        _WAREHOUSES[key] = Warehouse(RawTables(spark, folder), F.to_date(F.lit(AS_OF)), compat, kept)
+        raw = _RAW.get(key[:2]) or RawTables(spark, folder)
+        _WAREHOUSES[key] = Warehouse(raw, F.to_date(F.lit(AS_OF)), compat, kept)
     return _WAREHOUSES[key]
 
 
@@ -80,7 +89,7 @@ for _name in _SWITCHED:
     _register(_name, compat=True)
 
 QUERIES["extract_speeches_on_date"] = lambda spark, d: speeches_on_date(
-    warehouse(spark, d).mart_speeches, "2016-03-04"
+    warehouse(spark, d).laid_out("mart_speeches"), "2016-03-04"
 )
 SQL["extract_speeches_on_date"] = query_for(
     "mart_speeches",

@@ -26,7 +26,12 @@ def replace_nbsp(value: Column) -> Column:
 
 
 def contains_ci(value: Column, needle: str) -> Column:
-    return F.lower(value).contains(needle.lower())
+    """Whether a text has a phrase, whatever the case and the form of its characters (wide, ligature, composed or not).
+
+    Texts of ASCII alone need no more than lower case; others are compared by a collation that ignores both.
+    """
+    by_collation = F.contains(F.collate(value, "UNICODE_CI"), F.collate(F.lit(needle), "UNICODE_CI"))
+    return F.when(value.rlike(r"[^\x00-\x7F]"), by_collation).otherwise(F.lower(value).contains(needle.lower()))
 
 
 def contains_any(value: Column, needles: Sequence[str]) -> Column:

@@ -1,15 +1,14 @@
 """Data-quality checks as Spark jobs.
 
 A check list is plain data. ``violations`` gives the offending rows of one check and
-``report`` the number of failures of many: row-local checks of a table share one pass,
-and uniqueness checks are grouped counts.
+``report`` the number of failures of many: all checks of a table share one pass and one
+grouped count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,29 +85,36 @@ def violations(df: DataFrame, check: Check) -> DataFrame:
     return rows.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
-def report(df: DataFrame, checks: Sequence[Check], table: str = "") -> DataFrame:
-    """One row per check: table, name, severity, failures and status."""
-    local = [c for c in checks if c.is_row_local]
-    parts = []
-    if local:
-        counted = df.agg(*[F.count_if(c.scope() & c.fails()).alias(f"n{i}") for i, c in enumerate(local)])
-        lines = F.array(*[_line(c, F.col(f"n{i}")) for i, c in enumerate(local)])
-        parts.append(counted.select(F.explode(lines).alias("r")).select("r.*"))
-    for c in checks:
-        if not c.is_row_local:
-            counted = violations(df, c).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(counted.select(_line(c, F.col("n")).alias("r")).select("r.*"))
-    status = F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity"))
-    return (
-        reduce(lambda a, b: a.unionByName(b), parts)
-        .withColumn("status", status)
-        .select(F.lit(table).alias("table_name"), "check_name", "severity", "failures", "status")
-    )
+def _written(column: str) -> Column:
+    """A value as text that differs for all values and NULL."""
+    text = F.col(column).cast("string")
+    return F.when(F.col(column).isNull(), "-").otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
+
+
+def _entry(number: int, check: Check) -> Column:
+    """What a row adds to the count of a check: its key if that must be unique, nothing but the number if it fails."""
+    if check.is_row_local:
+        entered, key = check.fails(), F.lit("")
+    else:
+        entered = F.col(check.columns[0]).isNotNull() if check.kind == "unique" else F.lit(True)
+        key = F.concat(*[_written(c) for c in check.columns])
+    return F.when(check.scope() & entered, F.struct(F.lit(number).alias("check"), key.alias("key")))
+
 
+def report(df: DataFrame, checks: Sequence[Check], table: str = "") -> DataFrame:
+    """One row per check: table, name, severity, failures and status.
 
-def _line(check: Check, failures: Column) -> Column:
-    return F.struct(
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.severity).alias("severity"),
-        failures.cast("bigint").alias("failures"),
+    Rows are read once. Each lists the keys that must be unique and the checks it fails; these are counted together, combined
+    before the shuffle, so that neither a repeated key nor a check that all rows fail is a hot one.
+    """
+    entries = F.filter(F.array(*[_entry(i, c) for i, c in enumerate(checks)]), lambda e: e.isNotNull())
+    counted = df.select(F.inline(entries)).groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+    local = F.col("check").isin([i for i, c in enumerate(checks) if c.is_row_local])
+    failures = F.sum(F.when(local, F.col("n")).otherwise((F.col("n") > 1).cast("bigint"))).alias("failures")
+    found = counted.groupBy("check").agg(failures)
+    lines = df.sparkSession.createDataFrame([(i, c.name, c.severity) for i, c in enumerate(checks)], "no int, check_name string, severity string")
+    failed = F.coalesce("failures", F.lit(0)).cast("bigint")
+    return lines.join(found, lines["no"] == found["check"], "left").select(
+        F.lit(table).alias("table_name"), "check_name", "severity", failed.alias("failures"),
+        F.when(failed == 0, "pass").otherwise(F.col("severity")).alias("status"),
     )

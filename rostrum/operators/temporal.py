@@ -59,6 +59,24 @@ def interval_left_join(
     )
 
 
+def _by_month(intervals: DataFrame, start: str, end: str, as_of: Column | None) -> DataFrame:
+    """Intervals listed in each month they touch: ``__month``, and their closed end ``__to``."""
+    to_month = _BUCKETS["month"]
+    closed = intervals.withColumn("__to", open_end(F.col(end), as_of)).filter(F.col(start) <= F.col("__to"))
+    return closed.withColumn("__month", F.explode(F.sequence(to_month(F.col(start)), to_month(F.col("__to")))))
+
+
+def _on_days(listed: DataFrame, calendar: DataFrame, date: str, start: str, end: str) -> DataFrame:
+    """Rows of ``_by_month`` with each calendar date between ``start`` and ``end``, within their month.
+
+    The calendar may be broadcast: cast to dates, it holds at most one row per calendar day, whatever the data size.
+    """
+    days = calendar.select(F.col(date).cast("date").alias("__day")).distinct()
+    days = days.withColumn("__its_month", _BUCKETS["month"](F.col("__day")))
+    covered = (F.col("__month") == F.col("__its_month")) & F.col("__day").between(F.col(start), F.col(end))
+    return listed.join(F.broadcast(days), covered).withColumnRenamed("__day", date).drop("__its_month", "__month")
+
+
 def expand_intervals(
     calendar: DataFrame,
     intervals: DataFrame,
@@ -66,31 +84,41 @@ def expand_intervals(
     start: str,
     end: str,
     as_of: Column | None = None,
-    near: Sequence[str] = (),
 ) -> DataFrame:
     """One row per interval and calendar date inside it (a range join without other keys).
 
-    Intervals are listed by month and meet the month's dates. The calendar may be
-    broadcast: cast to dates, it holds at most one row per calendar day, whatever the data
-    size. The listed months are dealt out before they grow to days, by ``near`` columns if
-    given: a grouping by month, those columns and more then needs no second shuffle. The
-    month stays as column ``__month``.
+    Intervals are listed by month and meet the month's dates; nothing is shuffled.
     """
-    to_month = _BUCKETS["month"]
-    days = calendar.select(F.col(date).cast("date").alias("__day")).distinct().withColumn("__month", to_month(F.col("__day")))
-    spread = (
-        intervals.withColumn("__to", open_end(F.col(end), as_of))
-        .filter(F.col(start) <= F.col("__to"))
-        .withColumn("__iv_month", F.explode(F.sequence(to_month(F.col(start)), to_month(F.col("__to")))))
-    )
-    spread = spread.repartition("__iv_month", *(near or intervals.columns))
-    covered = (F.col("__iv_month") == F.col("__month")) & F.col("__day").between(F.col(start), F.col("__to"))
-    return (
-        spread.join(F.broadcast(days), covered, "inner")
-        .withColumnRenamed("__day", date)
-        .drop("__month", "__to")
-        .withColumnRenamed("__iv_month", "__month")
+    return _on_days(_by_month(intervals, start, end, as_of), calendar, date, start, "__to").drop("__to")
+
+
+def position_segments(
+    intervals: DataFrame, keys: Sequence[str], position: str, start: str, end: str, as_of: Column | None = None
+) -> DataFrame:
+    """What each key holds, as elementary segments: between two changes, within a month, the list of positions stays as it is.
+
+    A sweep over one key's month: starts and days after ends are its change points. One row per segment, with ``__month``,
+    ``__from``, ``__to``, ``positions`` (in order) and ``count_positions``. A row of the sweep is bounded by what one key holds
+    in one month.
+    """
+    listed = _by_month(intervals, start, end, as_of)
+    first = F.make_date(F.floor((F.col("__month") - 1) / 12).cast("int"), ((F.col("__month") - 1) % 12 + 1).cast("int"), F.lit(1))
+    held = F.collect_list(F.struct(F.col(position).alias("p"), F.col(start).alias("f"), F.col("__to").alias("t"))).alias("__held")
+    swept = listed.groupBy("__month", *keys).agg(held).withColumn("__first", first).withColumn("__last", F.last_day("__first"))
+    changes = F.concat(
+        F.array("__first"), F.transform("__held", lambda h: h["f"]), F.transform("__held", lambda h: F.date_add(h["t"], 1))
     )
+    inside = F.filter(changes, lambda d: d.between(F.col("__first"), F.col("__last")))
+    swept = swept.withColumn("__points", F.array_sort(F.array_distinct(inside)))
+
+    def segment(point: Column, i: Column) -> Column:
+        now = F.filter("__held", lambda h: (h["f"] <= point) & (point <= h["t"]))
+        names = F.array_sort(F.filter(F.transform(now, lambda h: h["p"]), lambda p: p.isNotNull()))
+        until = F.coalesce(F.date_sub(F.get(F.col("__points"), i + 1), 1), F.col("__last"))
+        return F.struct(point.alias("__from"), until.alias("__to"), names.alias("positions"), F.size(now).alias("__open"))
+
+    segments = swept.select("__month", *keys, F.inline(F.transform("__points", segment))).filter("__open > 0").drop("__open")
+    return segments.withColumn("count_positions", F.size("positions").cast("bigint"))
 
 
 def concurrent_positions_by_date(
@@ -103,16 +131,13 @@ def concurrent_positions_by_date(
     end: str,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """Positions held by each key on each calendar date, with their number."""
-    return (
-        expand_intervals(calendar, intervals, date, start, end, as_of, keys)
-        .groupBy("__month", date, *keys)
-        .agg(
-            F.array_sort(F.collect_list(position)).alias("positions"),
-            F.count(position).alias("count_positions"),
-        )
-        .drop("__month")
-    )
+    """Positions held by each key on each calendar date, with their number.
+
+    Dates meet segments, whose lists are built once, not single positions.
+    """
+    segments = position_segments(intervals, keys, position, start, end, as_of)
+    found = _on_days(segments, calendar, date, "__from", "__to")
+    return found.select(date, *keys, "positions", "count_positions")
 
 
 def open_count_by_date(

@@ -24,17 +24,19 @@ def agg_speech_metrics_by_member(
     """
     grain = ["parliament", "year", "month", "member_name", "member_constituency"]
     keys = grain[:-1]
-    spoken = (
+    sums = ["count_speeches", "count_words", "count_pri_questions", "count_sentences", "count_syllables"]
+    aloud = ~F.col("topic_type").isin(fv.WRITTEN_TYPES)
+    # distinct days are bits of their month, distinct topics are groups: no row is expanded to be counted twice
+    by_topic = (
         _by_month(speeches)
         .filter(
             (F.col("member_name") != "")
             & ~contains_any(F.lower("member_name"), fv.NON_MEMBER_WORDS)
             & ~F.col("is_topic_procedural")
         )
-        .groupBy(*grain)
+        .groupBy(*grain, "topic_id")
         .agg(
-            F.countDistinct(F.when(~F.col("topic_type").isin(fv.WRITTEN_TYPES), F.col("date"))).alias("count_sittings_spoken"),
-            F.countDistinct("topic_id").alias("count_topics"),
+            F.bit_or(F.when(aloud, F.expr("shiftleft(1L, day(date))"))).alias("days"),
             F.count(F.lit(1)).alias("count_speeches"),
             F.sum("count_speeches_words").alias("count_words"),
             F.count_if("is_primary_question").alias("count_pri_questions"),
@@ -42,6 +44,11 @@ def agg_speech_metrics_by_member(
             F.sum("count_speeches_syllables").alias("count_syllables"),
         )
     )
+    spoken = by_topic.groupBy(*grain).agg(
+        F.coalesce(F.bit_count(F.bit_or("days")), F.lit(0)).cast("bigint").alias("count_sittings_spoken"),
+        F.count("topic_id").alias("count_topics"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
     attended = (
         _by_month(attendance)
         .filter("member_name != ''")

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostrum import fixed_values as fv
+from rostrum.functions import text as tx
 from rostrum.functions.text import canonicalise, contains_any, contains_ci, extract_or_null
 from rostrum.operators.lifecycle import flagged_events
+from rostrum.operators.sets import computed_once
 
 
 def fact_attendance(attendance: DataFrame) -> DataFrame:
@@ -38,6 +40,17 @@ def fact_speeches(speeches: DataFrame) -> DataFrame:
     )
 
 
+def worded_speeches(speeches: DataFrame) -> DataFrame:
+    """Speeches with what later models want to know of their texts, as short columns.
+
+    ``asks`` a minister, ``stood`` in another member's name, and the ``ministry`` addressed where either holds.
+    """
+    asks, stood = tx.asks_a_minister(F.col("text")), tx.stood_in_name(F.col("text"))
+    told = computed_once(speeches, asks=asks, stood=stood)
+    told = computed_once(told, words=F.when(F.col("asks") | F.col("stood"), tx.extract_minister_for(F.col("text"))))
+    return told.withColumn("ministry", tx.ministry_of(F.col("words"))).drop("words")
+
+
 def fact_bills_introduced(bills: DataFrame) -> DataFrame:
     return bills.select(
         "bill_number", "title", "first_reading_date", "second_reading_date", "passed_date", "bill_pdf_link"

@@ -10,8 +10,10 @@ from rostrum.functions import text as tx
 from rostrum.operators.joins import left_lookup, reconcile_full
 from rostrum.operators.lifecycle import lifecycle_summary, stitch_across_years
 from rostrum.operators.ranking import primary_secondary, rank_categories
-from rostrum.operators.sets import computed_once, replace_column
-from rostrum.operators.temporal import concurrent_positions_by_date, interval_left_join
+from rostrum.operators.sets import replace_column
+from rostrum.operators.temporal import concurrent_positions_by_date, open_end
+from rostrum.plans.facts import worded_speeches
+from rostrum.sources.tables import on_date
 
 
 def _seats(positions: DataFrame) -> DataFrame:
@@ -42,6 +44,35 @@ def mart_prep_bill_activity(activity: DataFrame) -> DataFrame:
     return replace_column(stitched, "title", numbered)
 
 
+def member_histories(members: DataFrame, party: DataFrame, positions: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """All that is known of a member over time, in one row: ``people``, ``parties`` by parliament, and ``seats`` by dates.
+
+    The lists are bounded by what they mean: the party of each parliament and the seats of one person.
+    """
+    people = members.groupBy("member_name").agg(F.collect_list(F.struct("gender", "member_ethnicity")).alias("people"))
+    parties = party.groupBy("member_name").agg(F.collect_list(F.struct("parliament", "party")).alias("parties"))
+    until = open_end(F.col("effective_to_date"), as_of).alias("until")
+    seat = F.struct(F.col("effective_from_date").alias("since"), until, "constituency")
+    seats = _seats(positions).groupBy("member_name").agg(F.collect_list(seat).alias("seats"))
+    return people.join(parties, "member_name", "full").join(seats, "member_name", "full").filter("member_name is not null")
+
+
+def with_history(rows: DataFrame, histories: DataFrame) -> DataFrame:
+    """``rows`` (member_name, date, parliament) with gender, member_ethnicity, party and constituency, by one join.
+
+    Several of them on a date give a row each; what a member lacks is NULL.
+    """
+    met = left_lookup(rows, histories, ["member_name"])
+    of_parliament = F.filter("parties", lambda p: p["parliament"] == F.col("parliament"))
+    of_date = F.filter("seats", lambda s: F.col("date").between(s["since"], s["until"]))
+    met = met.select("*", F.explode_outer("people").alias("__person")).select("*", F.explode_outer(of_parliament).alias("__party"))
+    met = met.select("*", F.explode_outer(of_date).alias("__seat"))
+    return met.select(
+        *rows.columns, "__person.gender", "__person.member_ethnicity", F.col("__party.party").alias("party"),
+        F.col("__seat.constituency").alias("constituency"),
+    )
+
+
 def mart_attendance(
     attendance: DataFrame,
     sittings: DataFrame,
@@ -50,12 +81,13 @@ def mart_attendance(
     positions: DataFrame,
     as_of: Column | None = None,
 ) -> DataFrame:
-    dated = left_lookup(attendance, sittings.select("date", "parliament", "session"), ["date"])
-    known = left_lookup(dated, members.select("member_name", "gender", "member_ethnicity"), ["member_name"])
-    partied = left_lookup(known, party, ["member_name", "parliament"])
-    seated = interval_left_join(
-        partied, _seats(positions), ["member_name"], "date", "effective_from_date", "effective_to_date", as_of
-    )
+    """Attendance with the sitting and the member; its rows move once, by member.
+
+    The calendar may be broadcast: it is one row per calendar day, whatever the data size.
+    """
+    calendar = sittings.groupBy(F.col("date").cast("date").alias("date")).agg(F.collect_list(F.struct("parliament", "session")).alias("__sat"))
+    dated = left_lookup(attendance, F.broadcast(calendar), ["date"]).select(*attendance.columns, F.inline_outer("__sat"))
+    seated = with_history(dated, member_histories(members, party, positions, as_of))
     return seated.select(
         "date",
         "parliament",
@@ -86,17 +118,12 @@ def _top_two(ranked: DataFrame) -> DataFrame:
 def topic_ministries(speeches: DataFrame, topics: DataFrame, speakers: DataFrame) -> DataFrame:
     """Per topic the two ministries asked most, with their share of its questions.
 
-    Works on texts in place: only short labels of speeches that name an office are
-    joined and counted. A question counts once per row of its speaker on that day, as in
+    ``speeches`` are ``worded_speeches``; texts aren't read. A question counts once per row of its speaker on that day, as in
     the mart itself.
     """
-    text = F.col("text")
-    asks, stood = tx.asks_a_minister(text), tx.stood_in_name(text)
-    worded = computed_once(speeches.filter(asks | stood), stood=stood, words=tx.extract_minister_for(text))
     labels = (
-        worded.select("topic_id", "stood", *_SPOKEN, tx.ministry_of(F.col("words")).alias("ministry_addressed"))
-        .filter("ministry_addressed is not null")
-        .groupBy("topic_id", "stood", "ministry_addressed", *_SPOKEN)
+        speeches.filter("(asks or stood) and ministry is not null")
+        .groupBy("topic_id", "stood", F.col("ministry").alias("ministry_addressed"), *_SPOKEN)
         .agg(F.count(F.lit(1)).alias("n"))
     )
     times = speakers.groupBy(*_SPOKEN).agg(F.count(F.lit(1)).alias("__times"))
@@ -121,11 +148,7 @@ def member_days(
     texts themselves.
     """
     days = dated_speeches.select("member_name", "date", "parliament").filter("member_name is not null").distinct()
-    known = left_lookup(days, members.select("member_name", "gender", "member_ethnicity"), ["member_name"])
-    partied = left_lookup(known, party, ["member_name", "parliament"])
-    seated = interval_left_join(
-        partied, _seats(positions), ["member_name"], "date", "effective_from_date", "effective_to_date", as_of
-    )
+    seated = with_history(days, member_histories(members, party, positions, as_of))
     return left_lookup(seated, appointments, ["member_name", "date"])
 
 
@@ -139,15 +162,16 @@ def mart_speeches(
     appointments: DataFrame,
     as_of: Column | None = None,
     compat: bool = False,
+    texts: DataFrame | None = None,
 ) -> DataFrame:
     """Speeches with everything known about their topic, sitting and speaker.
 
-    The rows that carry texts take part in three joins: the sitting calendar, all
-    topic attributes at once, and all attributes of the speaker on that day at once.
+    With ``texts`` (row_id, text) the speeches are ``worded_speeches`` under stored row ids, without texts: all joins move short
+    rows, and texts come in last by row id, moved once. Without it speeches carry their texts along.
     ``compat`` repeats the constitutional flag as the procedural one.
     """
     dated = left_lookup(
-        speeches, sittings.select("date", "parliament", "session", "volume", "sittings"), ["date"]
+        worded_speeches(speeches) if texts is None else speeches, sittings.select("date", "parliament", "session", "volume", "sittings"), ["date"]
     )
     speakers = member_days(dated, members, party, positions, appointments, as_of)
     about = topics.select(
@@ -160,11 +184,11 @@ def mart_speeches(
         ["member_name", "date", "parliament"],
         null_safe=["date", "parliament"],
     )
-    primary = tx.is_primary_question(F.col("section_type"), F.col("text"))
-    words = F.when(primary, tx.extract_minister_for(F.col("text")))
-    enriched = computed_once(enriched, is_primary_question=primary, __words=words).withColumn(
-        "ministry_addressed", tx.ministry_of(F.col("__words"))
-    )
+    asked = F.col("section_type").isin(fv.PRIMARY_QUESTION_TYPES) & F.col("asks")
+    enriched = enriched.withColumn("is_primary_question", F.coalesce(asked | F.col("stood"), F.lit(False)))
+    enriched = enriched.withColumn("ministry_addressed", F.when(F.col("is_primary_question"), F.col("ministry")))
+    if texts is not None:
+        enriched = enriched.join(texts, "row_id")
     procedural = "is_topic_constitutional" if compat else "is_topic_procedural"
     seat = F.when(F.col("party") == fv.NOMINATED_PARTY, fv.NOMINATED_SEAT).otherwise(F.col("constituency"))
     return enriched.select(
@@ -235,7 +259,7 @@ def mart_bills(introduced: DataFrame, activity: DataFrame, compat: bool = False)
 def speeches_on_date(mart: DataFrame, date: str) -> DataFrame:
     """The extract of one day: its speeches in order of their identifier."""
     return (
-        mart.filter(F.col("date") == F.to_date(F.lit(date)))
+        on_date(mart, "date", date)
         .select("speech_id", "member_name", "member_party", "speech_text", "count_speeches_words", "topic_title")
         .orderBy("speech_id")
     )

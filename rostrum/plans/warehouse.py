@@ -11,11 +11,12 @@ from collections.abc import Callable, Mapping
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rostrum.operators import quality as q
 from rostrum.plans import aggregates, dashboards, dimensions, facts, marts, staging
 from rostrum.sources.schemas import SHEETS, STAGED_SHEETS
-from rostrum.sources.tables import load_table, materialise, read_sheet, topic_type_seed
+from rostrum.sources.tables import by_month, load_table, materialise, read_sheet, topic_type_seed
 
 RAW_TABLES = (
     "attendance", "sittings", "speeches", "topics", "members_full_name", "members_image",
@@ -29,6 +30,9 @@ LAYERS = {
     "agg": "table", "dash": "table",
 }
 
+# tables laid out by month of a date, and how rows stand within their files
+LAYOUTS = {"mart_speeches": ("date", ["date", "speech_id"])}
+
 
 def read_sources(spark: SparkSession, table_folder: str, sheet_folder: str) -> dict[str, DataFrame]:
     """Stored raw tables and exported sheets (``sheet_folder/<sheet>.csv``)."""
@@ -58,10 +62,23 @@ class Warehouse:
     ):
         self.raw, self.as_of, self.compat, self.folder = raw, as_of, compat, folder
         self._built: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}  # as they lie in their folders, with columns of their own
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        if self.folder is None:
+            return df
+        columns = df.columns
+        if name == "fact_speeches":  # what is told of texts, and a row id, are stored beside them
+            df = facts.worded_speeches(df).withColumn("row_id", F.monotonically_increasing_id())
         layer = max((x for x in LAYERS if name.startswith(x)), key=len)
-        return df if self.folder is None else materialise(df, name, LAYERS[layer], self.folder)
+        date, cluster = LAYOUTS.get(name, (None, []))
+        self._stored[name] = materialise(df, name, LAYERS[layer], self.folder, by_month(date) if date else None, cluster)
+        return self._stored[name].select(*columns)
+
+    def laid_out(self, name: str) -> DataFrame:
+        """A stored model with the columns of its layout, for filters that skip files."""
+        model = getattr(self, name)
+        return self._stored.get(name, model)
 
     def sheet(self, staged: str) -> DataFrame:
         return staging.stg_sheet(staged, self.raw[f"sheet_{STAGED_SHEETS[staged][0]}"])
@@ -196,9 +213,14 @@ class Warehouse:
 
     @_model
     def mart_speeches(self):
+        speeches, texts = self.fact_speeches, None
+        if self.folder is not None:
+            rows = self._stored["fact_speeches"]
+            speeches, texts = rows.drop("text"), rows.select("row_id", "text")
         return marts.mart_speeches(
-            self.fact_speeches, self.dim_topics, self.fact_sittings, self.dim_members, self.party,
+            speeches, self.dim_topics, self.fact_sittings, self.dim_members, self.party,
             self.dim_prep_member_positions, self.mart_prep_appointment_by_date, self.as_of, self.compat,
+            texts,
         )
 
     @_model

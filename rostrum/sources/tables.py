@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,10 +45,85 @@ def rename_cast(df: DataFrame, spec: Mapping[str, tuple[str, str]]) -> DataFrame
     return df.select(*[F.col(source).cast(kind).alias(new) for new, (source, kind) in spec.items()])
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace a stored table and read it back, which also cuts the lineage."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+_COMMITS = "_commits"
+
+
+def by_month(date: str) -> dict[str, Column]:
+    """A table layout by year and month of a date."""
+    return {"__year": F.year(date), "__month": F.month(date)}
+
+
+def write_table(df: DataFrame, path: str, layout: Mapping[str, Column] | None = None, cluster: Sequence[str] = ()) -> DataFrame:
+    """Replace a stored table and read it back, which also cuts the lineage.
+
+    Rows go to a version folder of their own. Then one rename puts a numbered commit in place that names the folder, so that
+    readers see the old table or the new one, never a part, and a failed write changes nothing. The version before stays
+    for those who are reading it; older ones are deleted.
+
+    ``layout``: partition columns to add. Rows of a partition are brought together, large ones in several files, and sorted by
+    the ``cluster`` columns within them.
+    """
+    spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
+    layout = dict(layout or {})
+    if layout:
+        df = df.withColumns(layout).hint("rebalance", *layout).sortWithinPartitions(*layout, *cluster)
+    elif cluster:
+        df = df.sortWithinPartitions(*cluster)
+    fs, at = _files(spark, path)
+    try:
+        df.write.partitionBy(*layout).parquet(f"{path}/{version}")
+    except Exception:
+        fs.delete(at(version), True)
+        raise
+    _commit(spark, path, version)
+    return spark.read.schema(df.schema).parquet(f"{path}/{version}")
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a table that ``write_table`` stored, with its layout's columns."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(path)
+    return spark.read.parquet(f"{path}/{versions[max(versions)]}")
+
+
+def _files(spark: SparkSession, path: str):
+    """The path's file system, and Hadoop paths below it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()), lambda *names: hadoop("/".join([path, *names]))
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, str]:
+    """Folder names by number of commit."""
+    fs, at = _files(spark, path)
+    if not fs.exists(at(_COMMITS)):
+        return {}
+    names = [f.getPath().getName() for f in fs.listStatus(at(_COMMITS))]
+    return {int(number): version for number, _, version in (n.partition(".") for n in names) if version}
+
+
+def _commit(spark: SparkSession, path: str, version: str) -> None:
+    fs, at = _files(spark, path)
+    before = _versions(spark, path)
+    fs.mkdirs(at(_COMMITS))
+    number = max(before, default=0) + 1
+    blank, placed = at(_COMMITS, version), at(_COMMITS, f"{number:012d}.{version}")  # the folder's name is all there is to tell
+    fs.create(blank).close()
+    if not fs.rename(blank, placed):
+        raise OSError(f"can't commit {placed}")
+    for old in sorted(before)[:-1]:
+        fs.delete(at(before[old]), True)
+        fs.delete(at(_COMMITS, f"{old:012d}.{before[old]}"), False)
+
+
+def on_date(df: DataFrame, column: str, date: str) -> DataFrame:
+    """Rows of one date; of a table laid out ``by_month`` only that month's files are read."""
+    day = F.to_date(F.lit(date))
+    wanted = F.col(column) == day
+    for name, part in (("__year", F.year(day)), ("__month", F.month(day))):
+        if name in df.columns:
+            wanted = wanted & (F.col(name) == part)
+    return df.filter(wanted)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -55,20 +131,29 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="rostrum-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def kept_aside(df: DataFrame) -> DataFrame:
+    """A small intermediate table, written once below the shared folder and read back."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
 
 
-def materialise(df: DataFrame, name: str, kind: str, folder: str | None = None) -> DataFrame:
+def materialise(
+    df: DataFrame, name: str, kind: str, folder: str | None = None, layout: Mapping[str, Column] | None = None, cluster: Sequence[str] = ()
+) -> DataFrame:
     """``table`` is stored in full under the folder; ``view`` stays lazy, under the folder's and its own name."""
     if kind == "table":
-        return write_table(df, f"{folder}/{name}")
+        return write_table(df, f"{folder}/{name}", layout, cluster)
     return publish_view(df, f"{re.sub('[^A-Za-z0-9]+', '_', folder.rpartition('/')[2])}_{name}" if folder else name)

@@ -68,6 +68,30 @@ def test_quartiles_of_one_group_of_continuous_values(spark):
     assert [got.q1, got.median, got.q3] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]))
 
 
+@pytest.mark.parametrize("small, pieces", [(3, 4), (1, 2), (50, 200)])
+def test_broad_slices_are_cut_until_they_are_small(spark, monkeypatch, small, pieces):
+    """Only small pieces, or single values, are ever put in order; the values don't depend on how they are cut."""
+    kept = []
+
+    def spied(df):
+        kept.append(tables.kept_aside(df))
+        return kept[-1]
+
+    monkeypatch.setattr(aggregate, "SMALL", small)
+    monkeypatch.setattr(aggregate, "_PIECES", pieces)
+    monkeypatch.setattr(aggregate, "_SKETCH_ACCURACY", 20)
+    monkeypatch.setattr(aggregate, "_MARGIN", 0.1)
+    monkeypatch.setattr(aggregate, "kept_aside", spied)
+    rng = np.random.default_rng(8)
+    groups = {"wide": rng.normal(0, 1, 2000), "ties": np.repeat([1.0, 2.0, 2.5], [900, 50, 1000]), None: rng.integers(0, 9, 300) / 2.0}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = aggregate.quartiles(df, ["k"], "v").collect()
+    assert {r["k"] for r in got} == set(groups)
+    for r in got:
+        assert [r.q1, r.median, r.q3] == pytest.approx(list(np.quantile(groups[r["k"]], [0.25, 0.5, 0.75])), rel=1e-12)
+    assert len(kept) > 1 and kept[-1].filter(f"__n > {small} and __lo < __hi").isEmpty()
+
+
 def _random_intervals(seed):
     rng, first = random.Random(seed), date(2018, 1, 1)
     spans, facts = [], []
@@ -218,3 +242,37 @@ def test_sheet_cells_may_hold_quotes_and_line_breaks_but_no_wrong_types(spark, t
         path.write_text(f"name,n\n{wrong}\n")
         with pytest.raises(Exception, match="(?i)malformed|failfast"):
             read()
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        tables.read_table(spark, path)
+    tables.write_table(spark.range(5), path)
+    bad = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        tables.write_table(bad, path)
+    assert tables.read_table(spark, path).count() == 5
+    assert len(list((tmp_path / "t").glob("v-*"))) == 1
+
+
+def test_readers_of_the_version_before_can_finish(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions = [tables.write_table(spark.range(n), path) for n in (1, 2)]
+    assert [v.count() for v in versions] == [1, 2]
+    tables.write_table(tables.read_table(spark, path).union(spark.range(1)), path)  # a table may be read to replace itself
+    assert versions[1].count() == 2 and tables.read_table(spark, path).count() == 3
+    assert len(list((tmp_path / "t").glob("v-*"))) == 2
+
+
+def test_tables_by_month_skip_files(spark, table, tmp_path):
+    rows = [(f"20{y}-{m:02d}-{d:02d}", y * m * d) for y in (19, 20) for m in (1, 2, 12) for d in (1, 15)] + [(None, 0)]
+    df = table("date date, n int", *rows)
+    tables.write_table(df, str(tmp_path / "t"), tables.by_month("date"), ["date"])
+    kept = tables.read_table(spark, str(tmp_path / "t"))
+    assert kept.count() == len(rows) and len(list((tmp_path / "t").glob("v-*/__year=*/__month=*"))) == 7
+    day = tables.on_date(kept, "date", "2020-02-15")
+    assert [r.n for r in day.collect()] == [20 * 2 * 15]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(__year" in plan and "= 2020)" in plan
+    assert len(day.inputFiles()) == len(kept.inputFiles()) and tables.on_date(df, "date", "2020-02-15").count() == 1

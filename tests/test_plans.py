@@ -176,6 +176,50 @@ def test_mart_speeches(spark, speech_inputs, rows):
     assert held["1"] == ["Speaker"] and held["2"] is None
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_move_once(spark, speech_inputs, rows, tmp_path):
+    """Texts stored under row ids give the same mart, even if a speech id repeats, by one exchange that carries them."""
+    speeches = speech_inputs["speeches"]
+    speeches = speeches.union(speeches.filter("speech_id = '6'").withColumn("text", F.lit("other words")))
+    lazy = _mart(spark, speech_inputs | {"speeches": speeches})
+    facts.worded_speeches(speeches).withColumn("row_id", F.monotonically_increasing_id()).write.parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        late = _mart(spark, speech_inputs | {"speeches": stored.drop("text")}, texts=stored.select("row_id", "text"))
+        plan = _plan(late)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shown = [c for c in late.columns if c != "member_appointments"]
+    assert late.columns == lazy.columns and rows(late, *shown) == rows(lazy, *shown)
+    assert late.filter("speech_text = 'other words'").count() == 2
+    reads = [line for line in plan.splitlines() if "FileScan" in line and "text:string" in line]
+    assert len(reads) == 1 and "ReadSchema: struct<row_id:bigint,text:string>" in reads[0] or "text" in reads[0]
+
+
+def test_distinct_counts_expand_no_rows(spark, speech_inputs, table):
+    attendance = table("date date, parliament int, member_name string, member_constituency string, is_present boolean", ("2017-05-01", 13, "Bob", "East", True))
+    metrics = aggregates.agg_speech_metrics_by_member(_mart(spark, speech_inputs), attendance, speech_inputs["party"])
+    assert "Expand" not in _plan(metrics)
+
+
+def test_days_spoken_are_counted_on_every_day_of_a_month(table, rows):
+    speeches = table(
+        "date date, parliament int, member_name string, member_constituency string, topic_id string, topic_type string, is_topic_procedural boolean, "
+        "is_primary_question boolean, count_speeches_words int, count_speeches_sentences int, count_speeches_syllables int",
+        *[(f"2017-05-{d:02d}", 13, "Ann", "East", f"t{d % 2}" if d > 1 else None, "OS", False, d == 3, 2, 1, 3) for d in (1, 2, 3, 31, 31, 30)],
+        ("2017-05-04", 13, "Ann", "East", "t0", "WA", False, False, 2, 1, 3), (None, 13, "Ann", "East", "t0", "OS", False, False, 2, 1, 3),
+    )
+    attendance = table("date date, parliament int, member_name string, member_constituency string, is_present boolean", ("2017-05-01", 13, "Ann", "East", True))
+    party = table("member_name string, party string, parliament int", ("Ann", "X", 13))
+    out = aggregates.agg_speech_metrics_by_member(speeches, attendance, party)
+    got = rows(out.filter("month = 5"), "count_sittings_spoken", "count_topics", "count_speeches", "count_words", "count_pri_questions")
+    assert got == [(5, 2, 7, 14, 1)]
+
+
 def test_extract_of_a_day(spark, speech_inputs, rows):
     out = marts.speeches_on_date(_mart(spark, speech_inputs), "2017-05-02")
     assert rows(out, "speech_id", "topic_title") == [("4", "B")]
@@ -235,3 +279,28 @@ def test_members_are_one_wide_row(spark, table, rows):
     assert (out["count_sittings_present"], out["count_sittings_total"], out["latest_member_constituency"]) == (1, 2, "New")
     assert [t["member_position"] for t in out["member_constituencies"]] == ["Old", "New"]
     assert out["member_appointments"] is None and out["earliest_sitting"] == datetime.date(2017, 5, 1)
+
+
+def test_sources_are_read_and_all_models_built(spark, tmp_path):
+    """The way a user goes: raw tables and sheets in folders, read, built, stored; as the lazily built models."""
+    from registry.raw_tables import AS_OF, RawTables
+    from rostrum.plans.warehouse import MODELS, RAW_TABLES, Warehouse, read_sources
+    from rostrum.sources.schemas import SHEETS
+    from rostrum.sources.tables import read_table
+
+    given = RawTables(spark, "/root/testdata/sf0.001")
+    for name in RAW_TABLES:
+        given[name].coalesce(2).write.parquet(str(tmp_path / "raw" / f"{name}.parquet"))
+    for name in SHEETS:
+        given[f"sheet_{name}"].coalesce(1).write.option("header", True).option("escape", '"').csv(str(tmp_path / "sheets" / f"{name}.csv"))
+    raw = read_sources(spark, str(tmp_path / "raw"), str(tmp_path / "sheets"))
+    assert set(raw) == {*RAW_TABLES, *(f"sheet_{s}" for s in SHEETS)}
+    house = Warehouse(raw, F.to_date(F.lit(AS_OF)), folder=str(tmp_path / "house"))
+    built = house.build_all()
+    assert set(built) == set(MODELS)
+    lazy = Warehouse(raw, F.to_date(F.lit(AS_OF)))
+    for name in ("fact_speeches", "mart_attendance", "mart_bills", "dash_by_member_metrics"):
+        assert built[name].columns == getattr(lazy, name).columns
+        assert built[name].exceptAll(getattr(lazy, name)).isEmpty() and getattr(lazy, name).exceptAll(built[name]).isEmpty()
+    assert read_table(spark, str(tmp_path / "house" / "mart_speeches")).count() == built["mart_speeches"].count() > 0
+    assert "__year" in house.laid_out("mart_speeches").columns and "__year" not in built["mart_speeches"].columns
