@@ -2,7 +2,8 @@
 
 A text is split by both tokenizers, and each token has a byte range. The cumulative ends of either side go into a dictionary from
 end to index; the ends that both dictionaries have, in order, slice both lists of ids into groups. Within a group the tokens
-whose ranges overlap are linked, by walking over both sides at once. Equal groups are expanded once by a worker and then reused.
+whose ranges overlap are linked, by walking over both sides at once. Both tokenizers begin anew at a single blank between other
+characters, and at a single line feed, so this is done for each stretch between such, once by a worker, and then reused.
 
 How often a pair of ids is linked in the whole collection is counted by Spark. Documents keep their pairs and multiplicities as
 two short binary columns, so texts are read and split once. The most frequent pairs (``HEAD`` at most, so of bounded size) are sent to
@@ -18,7 +19,6 @@ import hashlib
 import json
 import math
 import os
-from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -32,11 +32,14 @@ from llm.bpe import byte_symbols
 from llm.common import ID, TEXT, pick, stored
 
 HEAD = 1 << 20  # pairs that all workers know
-KEPT_IDS = 4_000_000  # ids of groups that a worker keeps
+KEPT_UNITS, KEPT_GROUPS = 400_000, 2_000_000  # stretches of text that a worker keeps (long ones count as several), and ids of groups
+JOINED, NOTHING = -1, -2  # in place of a stretch's number
+SEVERAL = 1 << 32
 FLUSH = 2_000_000  # entries of pairs that are summed up at a time
 # Fixed: the pattern of the byte-level tokenizer.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Scripts whose letters and digits no version of Unicode has changed of late; other texts, and those with long blanks, take the slower library.
+_SINGLE = regex.compile(r"(?<=\S) (?=\S)")  # blanks at which both tokenizers begin anew
 _HARD = regex.compile(r"[^\x00-ɏͰ-ϿЀ-ӿ -⁯぀-ヿ一-龥가-힣]|\s{200}")
 
 
@@ -65,6 +68,8 @@ class ByteTokenizer:
         if plain and described["normalizer"] is None and all(a < b for a, b in zip(order, order[1:])):
             self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks={self.bytes[i]: i for i in ids.values()}, special_tokens={})
 
+        self.parts_at_blanks = plain and described["normalizer"] is None and described["model"].get("dropout") is None
+
     def encode(self, text: str) -> list[int]:
         if self.fast is None or _HARD.search(text):
             return self.exact.encode(text, add_special_tokens=False).ids
@@ -79,29 +84,51 @@ class PieceTokenizer:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = ((i, self.model.id_to_piece(i)) for i in range(self.model.get_piece_size()))
+        names = list(names)
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in names]
+        # no piece goes on over a blank, and texts aren't changed before they are split
+        same = all(self.model.normalize(t) == f"▁{t}".replace(" ", "▁") for t in ("a  ﬁ é\u0301", " Ａ\t\n b "))
+        self.parts_at_blanks = same and not any("▁" in p.lstrip("▁") or "\n" in p for _, p in names)
 
     def encode(self, text: str) -> list[int]:
         return self.model.encode(text)
 
 
+class Grown:
+    """An array that entries are put behind."""
+
+    def __init__(self, kind: str):
+        self.n, self.held = 0, np.zeros(3 << 10, kind)
+
+    def extend(self, values) -> None:
+        while self.n + len(values) > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        self.held[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
 class Groups(dict):
-    """Number of a group by its ids on both sides; written form and links by number."""
+    """Number of a group of several tokens by its ids on both sides; the sides and their links by number."""
 
     def __init__(self, a_sizes: list[int], b_sizes: list[int]):
         super().__init__()
-        self.a_sizes, self.b_sizes, self.kept = a_sizes, b_sizes, 0
-        self.written: list[str] = []
+        self.a_sizes, self.b_sizes = a_sizes, b_sizes
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.kept = 0
+        self.sides: list[tuple[tuple[int, ...], tuple[int, ...]]] = []
         self.links: list[list[int]] = []
 
     def __missing__(self, group: tuple[tuple[int, ...], tuple[int, ...]]) -> int:
-        self[group] = number = len(self.written)
-        self.written.append("|".join(",".join(map(str, side)) for side in group))
-        self.links.append(self._expanded(*group))
+        self[group] = number = len(self.sides)
+        self.sides.append(group)
+        self.links.append(self._linked(*group))
         self.kept += len(group[0]) + len(group[1])
         return number
 
-    def _expanded(self, a: tuple[int, ...], b: tuple[int, ...]) -> list[int]:
+    def _linked(self, a: tuple[int, ...], b: tuple[int, ...]) -> list[int]:
         """Pairs whose byte ranges overlap: of the two current tokens the one that ends first makes way."""
         i = j = 0
         a_end, b_end, found = self.a_sizes[a[0]], self.b_sizes[b[0]], []
@@ -116,49 +143,164 @@ class Groups(dict):
             else:
                 return found
 
+
+class Written(dict):
+    """Groups as text, by code: a << 16 | b for one token each, else ``SEVERAL`` + number."""
+
+    def __init__(self, groups: Groups):
+        super().__init__()
+        self.groups = groups
+
+    def __missing__(self, code: int) -> str:
+        sides = ([code >> 16], [code & 0xFFFF]) if code < SEVERAL else self.groups.sides[code - SEVERAL]
+        self[code] = text = "|".join(",".join(map(str, side)) for side in sides)
+        return text
+
+
+class Units(dict):
+    """Number of a stretch of text, which both tokenizers split on its own; what is known of it, by number.
+
+    Keys: a word stands for blank + word, a key that begins with a blank or a line feed for itself. No stretch ends with white
+    space, and behind its first character there is none, so that tokens of either side end with it.
+    """
+
+    def __init__(self, a: ByteTokenizer, b: PieceTokenizer):
+        super().__init__()
+        self.a, self.b = a, b
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, t.bytes)), "i8") for t in (a, b))
+        self.groups = Groups(self.a_sizes.tolist(), self.b_sizes.tolist())
+        self.texts = Written(self.groups)
+        self.forget()
+
     def forget(self) -> None:
-        if self.kept > KEPT_IDS:
-            self.clear()
-            self.written.clear()
-            self.links.clear()
-            self.kept = 0
+        self.clear()
+        self.kept = 0
+        self.sizes = Grown("i8")  # three a unit: tokens on both sides, groups
+        self.written: list[str] = []
+        self.links, self.ends = Grown("u4"), Grown("i8")
+        self.ends.extend([0])
+
+    def add_words(self, words: list[str]) -> None:
+        """Take up words, and such behind line feeds, many at a time: as one text."""
+        some, size = [], 0
+        for word in words:
+            body = word[1:] if word[:1] == "\n" else word
+            if not body or body[0].isspace() or body[-1].isspace():
+                self[word] = JOINED  # the white space before or behind may go with others
+            elif len(word) > 200 or _HARD.search(word):
+                self.add([word])
+            else:
+                some.append(word)
+                size += len(word)
+                if size > 20_000:
+                    self.add(some)
+                    some, size = [], 0
+        if some:
+            self.add(some)
+
+    def add(self, keys: list[str]) -> None:
+        """Take up stretches; NOTHING if the tokens' bytes aren't the stretch's own."""
+        parts = [k if k[0] in " \n" else f" {k}" for k in keys]
+        extra = parts[0][0] != " "  # a text stands behind a blank
+        if extra:
+            parts = [" a", *parts]
+        raws = [t.encode() for t in parts]
+        whole, raw = "".join(parts), b"".join(raws)
+        a, b = self.a.encode(whole), self.b.encode(whole[1:])
+        if b"".join(map(self.a.bytes.__getitem__, a)) != raw or b"".join(map(self.b.bytes.__getitem__, b)) != raw:
+            if len(keys) == 1:
+                self[keys[0]] = NOTHING
+                self.kept += 1
+            else:
+                for key in keys:
+                    self.add([key])
+            return
+        a_ids, b_ids = np.array(a, "i8"), np.array(b, "i8")
+        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]).tolist(), np.cumsum(self.b_sizes[b_ids]).tolist()
+        a_at, b_at = dict(zip(a_ends, range(1, len(a) + 1))), dict(zip(b_ends, range(1, len(b) + 1)))
+        common = list(filter(b_at.__contains__, a_ends))  # ascending, as the ends themselves
+        i, j = (np.fromiter(map(at.__getitem__, common), "i8", len(common)) for at in (a_at, b_at))
+        i_from, j_from = (np.concatenate([[0], x[:-1]]) for x in (i, j))
+        codes = a_ids[i_from] << 16 | b_ids[j_from]
+        several = np.flatnonzero((i - i_from > 1) | (j - j_from > 1))
+        numbers = [
+            self.groups[tuple(a[p:q]), tuple(b[r:s])]
+            for p, q, r, s in zip(*(x[several].tolist() for x in (i_from, i, j_from, j)))
+        ]
+        codes[several] = np.array(numbers, "i8") + SEVERAL
+        told = list(map(self.texts.__getitem__, codes.tolist()))
+        n_links = np.ones(len(codes), "i8")
+        n_links[several] = list(map(len, map(self.groups.links.__getitem__, numbers)))
+        last = np.cumsum(n_links)
+        links = np.zeros(last[-1], "i8")
+        links[last - 1] = codes
+        for number, end in zip(numbers, last[several].tolist()):
+            found = self.groups.links[number]
+            links[end - len(found) : end] = found
+        # where the stretches end: in groups, tokens and links
+        ends = np.searchsorted(np.array(common), np.cumsum(list(map(len, raws)))) + 1
+        marks = np.stack([i[ends - 1], j[ends - 1], ends, last[ends - 1]])
+        begin = marks[:, :1] if extra else np.zeros((4, 1), "i8")
+        marks = np.concatenate([begin, marks[:, int(extra) :]], axis=1)
+        for key, p, q in zip(keys, marks[2, :-1].tolist(), marks[2, 1:].tolist()):
+            self[key] = len(self.written)
+            self.written.append(";".join(told[p:q]))
+        self.sizes.extend(np.diff(marks[:3], axis=1).T.ravel())
+        self.ends.extend(self.links.n + marks[3, 1:] - marks[3, 0])
+        self.links.extend(links[marks[3, 0] :])
+        self.kept += len(keys) + len(links) // 8
+        if self.groups.kept > KEPT_GROUPS:
+            self.groups.forget()
+            self.texts.clear()
 
 
 class Aligner:
     def __init__(self, a_path: str, b_path: str):
-        self.a, self.b = ByteTokenizer(a_path), PieceTokenizer(b_path)
-        self.a_sizes, self.b_sizes = list(map(len, self.a.bytes)), list(map(len, self.b.bytes))
-        if max(len(self.a_sizes), len(self.b_sizes)) > 1 << 16:
+        a, b = ByteTokenizer(a_path), PieceTokenizer(b_path)
+        if max(len(a.bytes), len(b.bytes)) > 1 << 16:
             raise ValueError("a pair of ids has 32 bits")
-        self.groups = Groups(self.a_sizes, self.b_sizes)
+        self.units = Units(a, b)
+        self.by_words = a.parts_at_blanks and b.parts_at_blanks
+
+    def align(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Numbers of each text's units, none for a text without tokens. They hold until ``forget``."""
+        words = [t.replace("\n", " \n").split(" ") if t and self.by_words else [] for t in texts]
+        self.units.add_words([w for w in set().union(*words) if w not in self.units])
+        return [self._numbers(t, w) for t, w in zip(texts, words, strict=True)]
 
-    def align(self, text: str | None) -> tuple[int, int, list[int]]:
-        """Number of tokens on both sides, and numbers of the groups."""
+    def _numbers(self, text: str | None, words: list[str]) -> np.ndarray:
         if not text:
-            return 0, 0, []
-        a, b = tuple(self.a.encode(" " + text)), tuple(self.b.encode(text))
-        raw = b" " + text.encode()
-        if b"".join(map(self.a.bytes.__getitem__, a)) != raw or b"".join(map(self.b.bytes.__getitem__, b)) != raw:
-            return 0, 0, []
-        a_at = dict(zip(accumulate(map(self.a_sizes.__getitem__, a)), range(1, len(a) + 1)))
-        b_at = dict(zip(accumulate(map(self.b_sizes.__getitem__, b)), range(1, len(b) + 1)))
-        common = list(filter(b_at.__contains__, a_at))  # in ascending order, as the ends themselves
-        a_ends, b_ends = [0, *map(a_at.__getitem__, common)], [0, *map(b_at.__getitem__, common)]
-        a_slices = map(a.__getitem__, map(slice, a_ends, a_ends[1:]))
-        b_slices = map(b.__getitem__, map(slice, b_ends, b_ends[1:]))
-        return len(a), len(b), list(map(self.groups.__getitem__, zip(a_slices, b_slices)))
-
-    def written(self, groups: list[int]) -> str:
-        return ";".join(map(self.groups.written.__getitem__, groups))
-
-    def linked(self, groups: list[int]) -> tuple[np.ndarray, np.ndarray]:
+            return np.zeros(0, "i8")
+        numbers = np.fromiter(map(self.units.__getitem__, words), "i8", len(words))
+        if not words or text[0] == "\n" or (numbers == JOINED).any():
+            parts = _SINGLE.split(text) if self.by_words else [text]
+            numbers = np.fromiter((self._any(f" {p}") for p in parts), "i8", len(parts))
+        return numbers[:0] if (numbers == NOTHING).any() else numbers
+
+    def _any(self, key: str) -> int:
+        if key not in self.units:
+            self.units.add([key])
+        return self.units[key]
+
+    def counts(self, units: np.ndarray) -> tuple[int, int, int]:
+        """Tokens on both sides, and groups."""
+        return tuple(self.units.sizes.held.reshape(-1, 3)[units].sum(axis=0).tolist()) if len(units) else (0, 0, 0)
+
+    def written(self, units: np.ndarray) -> str:
+        return ";".join(map(self.units.written.__getitem__, units.tolist()))
+
+    def linked(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of ids (a << 16 | b), ascending, and how often each is linked."""
-        pairs, times = [], []
-        for group, n in Counter(groups).items():
-            found = self.groups.links[group]
-            pairs += found
-            times += [n] * len(found)
-        return summed(np.array(pairs, "i8"), np.array(times, "i8"))
+        distinct, times = np.unique(units, return_counts=True)
+        begin = self.units.ends.held[distinct]
+        size = self.units.ends.held[distinct + 1] - begin
+        places = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+        return summed(self.units.links.held[places].astype("i8"), np.repeat(times, size))
+
+    def forget(self) -> None:
+        """Numbers that were given out are void then."""
+        if self.units.kept > KEPT_UNITS:
+            self.units.forget()
 
 
 def summed(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,14 +331,14 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = ID, text: s
         for frame in frames:
             for at in range(0, len(frame), 256):  # results don't pile up to whole batches
                 out, some = [], frame.iloc[at : at + 256]
-                for row, doc_id, t in zip(some["row"], some["doc_id"], some["text"], strict=True):
-                    n_a, n_b, groups = use.align(t)
-                    told = use.written(groups)
+                for row, doc_id, units in zip(some["row"], some["doc_id"], use.align(some["text"].tolist()), strict=True):
+                    n_a, n_b, n_groups = use.counts(units)
+                    told = use.written(units)
                     if not whole:
-                        told = hashlib.sha256(told.encode()).hexdigest() if groups else ""
-                    pairs, times = use.linked(groups)
-                    use.groups.forget()
-                    out.append((row, doc_id, n_a, n_b, len(groups), told, pairs.astype("<u4").tobytes(), times.astype("<u4").tobytes()))
+                        told = hashlib.sha256(told.encode()).hexdigest() if n_a else ""
+                    pairs, times = use.linked(units)
+                    out.append((row, doc_id, n_a, n_b, n_groups, told, pairs.astype("<u4").tobytes(), times.astype("<u4").tobytes()))
+                use.forget()
                 names = ["row", "doc_id", "n_a", "n_b", "n_groups", "groups", "pairs", "times"]
                 yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 

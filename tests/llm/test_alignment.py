@@ -89,11 +89,23 @@ def test_random_text_of_any_script_splits_as_the_library_does():
     assert use.fast is not None and 10 < fast < 300
 
 
-def test_a_small_store_of_groups_changes_nothing(monkeypatch):
+def test_a_small_store_of_units_changes_nothing(monkeypatch):
     use = alignment.Aligner(A, B)
-    first = [use.linked(use.align(t)[2])[0].tolist() for t in TEXTS]
-    monkeypatch.setattr(alignment, "KEPT_IDS", 3)
+    first = [use.written(u) for u in use.align(TEXTS)]
+    monkeypatch.setattr(alignment, "KEPT_UNITS", 3)
     for text, want in zip(TEXTS, first):
-        assert use.linked(use.align(text)[2])[0].tolist() == want
-        use.groups.forget()
-    assert len(use.groups) < 10
+        assert use.written(use.align([text])[0]) == want
+        use.forget()
+    assert len(use.units) < 10
+
+
+def test_stretches_between_blanks_are_split_as_in_the_whole_text():
+    use, plain, pick = alignment.Aligner(A, B), alignment.Aligner(A, B), random.Random(6)
+    assert use.by_words
+    plain.by_words = False
+    parts = ["word", "Wörter", "don't", "a.b", "3,5", "\n", "x\ny", "\t", "", " ", "\u00a0", "z\u00a0", "▁", "日本", "🙂", "'s", "...", "\r\n", "\u3000q", "\x1c", "\u200b", "q\x1cr"]
+    texts = [pick.choice([" ", "\n", " "]).join(pick.choice(parts) for _ in range(pick.randint(1, 12))) for _ in range(500)]
+    texts += ["\nfoo", "a\nfoo\nbar b", "foo\n", "a\n\nb", "a \nb", "a\n b", "\n", " \nfoo \nfoo", "x\r\ny\nz"]
+    for text, a, b in zip(texts, use.align(texts), plain.align(texts)):
+        assert (use.counts(a), use.written(a)) == (plain.counts(b), plain.written(b)), text
+        assert [x.tolist() for x in use.linked(a)] == [x.tolist() for x in plain.linked(b)]
