@@ -40,16 +40,26 @@ CUES = r"(?i)passw(?:or)?d|passphrase|pwd|secret|token|api.?key|access.?key|akia
 LEFT = 24  # code points before a candidate that the gazetteer looks at
 VOTES = ["form", "cue", "place"]
 
+MATCHES = 512
 _NONE = "cast(array() as array<struct<start:bigint,end:bigint,word:string>>)"
+_NO_BLOCKS = "cast(array() as array<array<struct<start:bigint,end:bigint,word:string>>>)"
 
 
 def located(text: str, pattern: str) -> Column:
-    """Matches of a pattern with their places: the lengths of what stands between matches add up to them."""
+    """Matches of a pattern with their places: the lengths of what stands between matches add up to them.
+
+    Appending copies an array, so matches are gathered in blocks of ``MATCHES``, and blocks are put together at the end.
+    """
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
     pieces = f"arrays_zip(split({text}, '{quoted}', -1), regexp_extract_all({text}, '{quoted}', 0))"
     span = "named_struct('start', a.at + char_length(x.`0`), 'end', a.at + char_length(x.`0`) + char_length(x.`1`), 'word', x.`1`)"
     step = f"named_struct('at', a.at + char_length(x.`0`) + char_length(x.`1`), 'out', array_append(a.out, {span}))"
-    return F.expr(f"aggregate({pieces}, named_struct('at', 0L, 'out', {_NONE}), (a, x) -> if(x.`1` is null, a, {step}), a -> a.out)")
+    inner = f"aggregate(block, named_struct('at', b.at, 'out', {_NONE}), (a, x) -> if(x.`1` is null, a, {step}))"
+    # one-element arrays stand for local names
+    more = f"get(transform(array({inner}), r -> named_struct('at', r.at, 'out', array_append(b.out, r.out))), 0)"
+    blocks = f"transform(sequence(0, (size(p) - 1) div {MATCHES}), i -> slice(p, cast(i * {MATCHES} + 1 as int), {MATCHES}))"
+    whole = f"flatten(aggregate({blocks}, named_struct('at', 0L, 'out', {_NO_BLOCKS}), (b, block) -> {more}, b -> b.out))"
+    return F.expr(f"get(transform(array({pieces}), p -> {whole}), 0)")
 
 
 def _digits(word: Column) -> Column:
@@ -210,10 +220,10 @@ def redact(found: DataFrame, text: str = TEXT) -> DataFrame:
 
 
 def span_report(docs: DataFrame) -> DataFrame:
-    """Counts per base kind, a digest of base spans, and all spans, per document."""
+    """Counts per base kind, a digest of base spans, all spans, and how many secrets and spans there are, per document."""
     docs = pick(docs, ID, TEXT)
     found = find_spans(docs, fit(docs)).select(ID, "pii")
     shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("pii", lambda s: s["kind"] != "secret")
-    return found.select(ID, *[count(k) for k in KINDS[:4]], F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("pii")).alias("spans"))
+    return found.select(ID, *[count(k) for k in KINDS[:4]], F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("pii")).alias("spans"), count("secret"), F.size("pii").cast("long").alias("n_spans"))

@@ -61,3 +61,25 @@ def test_defined_results(docs):
     assert out.columns == ["doc_id", "text", "TEXT_1", "size", "_range", "n_words", "pii"]
     assert pii.span_report(docs("x").limit(0)).collect() == []
     assert pii.redact(pii.find_spans(docs("1.2.3.4@a.bc"), None)).first()[1] == "<email>"  # the ip inside is covered
+
+
+def test_very_many_matches_of_one_text(docs):
+    """Far more matches than a block holds, in time that grows with them."""
+    text = " ".join(f"1.2.3.{k % 256} x" for k in range(20_000))
+    got = pii.span_report(docs(text, "1.2.3.4")).orderBy("doc_id").collect()
+    assert got[0].n_ip == got[0].n_spans == 20_000 and got[0].base_sha256 == hashlib.sha256(brute(text).encode()).hexdigest()
+    assert got[1].spans == "ip:0:7"
+
+
+def test_recall_of_planted_personal_data_and_secrets(spark):
+    """Of the given documents that hold any, nearly all are found; those without digits are left alone."""
+    from llm.common import read
+
+    rows = pii.span_report(read(spark, "/root/testdata/sf0.01", "documents")).collect()
+    texts = {r.doc_id: r.text for r in read(spark, "/root/testdata/sf0.01", "documents").collect()}
+    held = {i: bool(brute(t)) or bool(re.search(r'(?i)token = "[0-9a-f]{40}"', t or "")) for i, t in texts.items()}
+    found = {r.doc_id: r.n_spans > 0 for r in rows}
+    secret = {i for i, t in texts.items() if re.search(r'(?i)token = "[0-9a-f]{40}"', t or "")}
+    assert sum(found[i] for i in held if held[i]) >= 0.95 * sum(held.values()) > 0
+    assert sum(r.n_secret > 0 for r in rows if r.doc_id in secret) >= 0.95 * len(secret) > 0
+    assert not any(found[i] for i, t in texts.items() if not re.search("[0-9]", t or ""))
