@@ -112,12 +112,16 @@ def _scanner(spark, items: list[tuple[str, str]], window: int):
 
 
 def blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """Items in blocks of bounded size, so neither driver nor task holds more than one block of a large set."""
-    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    """Items in blocks of bounded size, so neither driver nor task holds more than one block of a large set.
+
+    Items that share a text fall to different blocks; equal rows are one.
+    """
+    items = benchmark.filter(F.length("text") > 0).select(F.coalesce("item", F.lit("")).alias("item"), "text").distinct()
+    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
     for k in range(n):
-        part = benchmark if n == 1 else benchmark.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
-        yield sorted((r.item or "", r.text) for r in part.filter(F.length("text") > 0).collect())
+        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("text", "item"), F.lit(n)) == k)
+        yield sorted((r.item, r.text) for r in part.collect())
 
 
 def find_contamination(

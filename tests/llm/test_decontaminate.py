@@ -51,3 +51,10 @@ def test_empty_tables(spark, docs):
     none = _items(spark, []).limit(0)
     assert [r.n_hit for r in decontaminate.contamination_report(docs("a b", None), none).collect()] == [0, 0]
     assert decontaminate.contamination_report(docs("a").limit(0), _items(spark, [(1, "a", "c")])).collect() == []
+
+
+def test_one_text_under_many_ids_is_cut_into_blocks(spark):
+    same = spark.range(100_000).selectExpr("cast(id as string) as item", "'one two three four five six seven' as text")
+    found = list(decontaminate.blocks(same.union(same.limit(10)), 400_000))
+    assert len(found) > 5 and sum(map(len, found)) == 100_000
+    assert max(sum(len(i) + len(t) for i, t in block) for block in found) < 500_000
