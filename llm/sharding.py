@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import ID, TEXT, clear, pick
+from llm.common import ID, TEXT, clear, discard, pick, stored
 
 OVERHEAD = 16  # bytes a record weighs besides its text
 DRAWS_PER_RANGE = 24
@@ -85,7 +85,7 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = ID, text: str = TE
     """``docs`` with size, shard and slot (gapless within the shard)."""
     docs = clear(docs, id_col, text, reserved=_OWN)
     keyed = _key_columns(docs, id_col, text)
-    narrow = keyed.select("_h", "_id", "size")
+    narrow = stored(keyed.select("_h", "_id", "size"), "sizes")  # texts are read here, and once more for the result
     total, rows = narrow.agg(F.sum("size"), F.count("*")).first()
     if not rows:
         return docs.select("*", F.lit(0).cast("long").alias("size"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).limit(0)
@@ -129,6 +129,7 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = ID, text: str = TE
         return at.withColumn("shard", F.least(F.floor(place / share), F.lit(shards - 1)).cast("int"))
 
     filled = sharded(narrow).groupBy("_range", "shard").count().collect()
+    discard(narrow)
     next_slot: dict[int, int] = {}
     slots = []
     for r in sorted(filled, key=lambda r: (r["shard"], r["_range"])):
