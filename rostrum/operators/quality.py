@@ -85,30 +85,28 @@ def violations(df: DataFrame, check: Check) -> DataFrame:
     return rows.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
-def _written(column: str) -> Column:
-    """A value as text that differs for all values and NULL."""
-    text = F.col(column).cast("string")
-    return F.when(F.col(column).isNull(), "-").otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
-
-
 def _entry(number: int, check: Check) -> Column:
-    """What a row adds to the count of a check: its key if that must be unique, nothing but the number if it fails."""
+    """What a row adds to the count of a check: its key's hash if that must be unique, nothing but the number if it fails."""
     if check.is_row_local:
-        entered, key = check.fails(), F.lit("")
+        entered, keys = check.fails(), [F.lit(0).cast("bigint")] * 2
     else:
         entered = F.col(check.columns[0]).isNotNull() if check.kind == "unique" else F.lit(True)
-        key = F.concat(*[_written(c) for c in check.columns])
-    return F.when(check.scope() & entered, F.struct(F.lit(number).alias("check"), key.alias("key")))
+        # the hash passes over NULL, so that is told apart by a column of its own
+        columns = [c for name in check.columns for c in (F.col(name).isNull(), F.col(name))]
+        keys = [F.xxhash64(F.lit(seed), *columns) for seed in (0, 1)]
+    entry = F.struct(F.lit(number).alias("check"), keys[0].alias("key"), keys[1].alias("also"))
+    return F.when(check.scope() & entered, entry)
 
 
 def report(df: DataFrame, checks: Sequence[Check], table: str = "") -> DataFrame:
     """One row per check: table, name, severity, failures and status.
 
     Rows are read once. Each lists the keys that must be unique and the checks it fails; these are counted together, combined
-    before the shuffle, so that neither a repeated key nor a check that all rows fail is a hot one.
+    before the shuffle, so that neither a repeated key nor a check that all rows fail is a hot one. Keys are told apart by
+    two 64-bit hashes.
     """
     entries = F.filter(F.array(*[_entry(i, c) for i, c in enumerate(checks)]), lambda e: e.isNotNull())
-    counted = df.select(F.inline(entries)).groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+    counted = df.select(F.inline(entries)).groupBy("check", "key", "also").agg(F.count(F.lit(1)).alias("n"))
     local = F.col("check").isin([i for i, c in enumerate(checks) if c.is_row_local])
     failures = F.sum(F.when(local, F.col("n")).otherwise((F.col("n") > 1).cast("bigint"))).alias("failures")
     found = counted.groupBy("check").agg(failures)
