@@ -35,7 +35,7 @@ MOST_DOCS = 20_000  # labelled documents of each language that a model is fitted
 MOST_ENTRIES, LEAST_ENTRIES = 200_000, 5_000  # words, and as many n-grams: over all languages, but so many of each at least
 LONGEST = 4
 EVIDENCE = 20
-KEPT = 1_000_000  # scores of unseen words that a worker keeps
+KEPT = 400_000  # words of texts, and scores of unseen ones, that a worker keeps
 NORM_DOCS = 1_000  # labelled documents of each language that the usual fit is taken from
 UNDETERMINED = "und"
 _LETTERS = regex.compile(r"\p{L}+")
@@ -55,17 +55,82 @@ class Table:
         places = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
         return np.bincount(self.langs[places], weights=values[places], minlength=n)
 
+    def firm_in(self, lang: int) -> set[int]:
+        """Rows that two documents of a language have."""
+        return set((np.searchsorted(self.ends, np.flatnonzero(self.firm & (self.langs == lang)), side="right") - 1).tolist())
+
+
+class Unseen:
+    """Scores of words without a row of their own, by number from ``first`` on."""
+
+    def __init__(self, first: int, width: int):
+        self.first, self.n, self.scores = first, 0, np.zeros((1024, width), "f4")
+
+    def add(self, scores: np.ndarray) -> int:
+        if self.n == len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+        self.scores[self.n] = scores
+        self.n += 1
+        return self.first + self.n - 1
+
+
+class Rows(dict):
+    """Row of a word that texts have. An unknown word is scored by its n-grams when it is first met; long ones aren't kept."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: str) -> int:
+        row = self.model.known_words.get(word)
+        if row is None:
+            row = self.model.unseen.add(self.model.backed_off(word))
+        if len(word) <= 64:
+            self[word] = row
+        return row
+
+
+class Fits(dict):
+    """How well a word fits one language: 1 if two documents have it, else the share of its n-grams that two have."""
+
+    def __init__(self, model: Model, lang: int):
+        super().__init__()
+        self.words, self.grams = model.known_words, model.grams
+        self.firm_words, self.firm_grams = model.words.firm_in(lang), model.pieces.firm_in(lang)
+
+    def __missing__(self, word: str) -> float:
+        if self.words.get(word) in self.firm_words:
+            found = 1.0
+        else:
+            marked = f"^{word}$"
+            pieces = [marked[i : i + LONGEST] for i in range(max(1, len(marked) - LONGEST + 1))]
+            found = sum(self.grams.get(g) in self.firm_grams for g in pieces) / len(pieces)
+        if len(word) <= 64:
+            self[word] = found
+        return found
+
 
 class Model:
     """Scores by language of known words and n-grams."""
 
     def __init__(self, languages: list[str], words: dict[str, int], word_table: Table, grams: dict[str, int], gram_table: Table):
-        self.languages, self.rows, self.grams = languages, words, grams
+        self.languages, self.known_words, self.grams = languages, words, grams
         self.words, self.pieces = word_table, gram_table
-        self.known = len(words)
-        self.unseen: list[np.ndarray] = []
-        self.fits: dict[tuple[str, int], float] = {}
         self.norms: dict[int, float] = {}  # median fit of labelled rows by language
+        self._forget()
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k not in ("rows", "unseen", "fits")}
+
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update(state)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Drop what has been worked out from texts."""
+        self.unseen = Unseen(len(self.known_words), len(self.languages))
+        self.rows = Rows(self)
+        self.fits: dict[int, Fits] = {}
 
     def backed_off(self, word: str) -> np.ndarray:
         marked, found = f"^{word}$", []
@@ -78,82 +143,46 @@ class Model:
         n = len(self.languages)
         return self.pieces.total(np.array(found), self.pieces.scores, n) / len(found) if found else np.zeros(n)
 
-    def row_of(self, word: str) -> int:
-        k = self.rows.get(word)
-        if k is None:
-            k = self.known + len(self.unseen)
-            if len(word) <= 64:
-                self.rows[word] = k
-            self.unseen.append(self.backed_off(word).astype("f4"))
-        return k
-
-    def forget_unseen(self) -> None:
-        if len(self.unseen) * len(self.languages) > KEPT:
-            self.rows = {w: k for w, k in self.rows.items() if k < self.known}
-            self.unseen.clear()
-
     def predict(self, text: str | None) -> tuple[str, float]:
         return self._best(_LETTERS.findall(text.lower()) if text else [])
 
     def _best(self, words: list[str]) -> tuple[str, float]:
         if not words or not self.languages:
             return UNDETERMINED, 0.0
-        at = np.array(list(map(self.row_of, words)))
-        seen = at < self.known
+        if len(self.rows) + self.unseen.n * len(self.languages) // 8 + sum(map(len, self.fits.values())) > KEPT:
+            self._forget()
+        at = np.fromiter(map(self.rows.__getitem__, words), "i8", len(words))
+        seen = at < self.unseen.first
         total = self.words.total(at[seen], self.words.scores, len(self.languages))
-        for k in at[~seen]:
-            total = total + self.unseen[k - self.known]
-        self.forget_unseen()
+        total = total + self.unseen.scores[at[~seen] - self.unseen.first].sum(axis=0, dtype="f8")
         best = int(np.argmax(total))
         weight = min(len(words), EVIDENCE) / len(words)
         return self.languages[best], float(1 / np.exp((total - total[best]) * weight).sum())
 
-    def _is_firm(self, table: Table, row: int | None, lang: int) -> bool:
-        if row is None:
-            return False
-        part = slice(table.ends[row], table.ends[row + 1])
-        return bool((table.firm[part] & (table.langs[part] == lang)).any())
-
-    def fit_of(self, word: str, lang: int) -> float:
-        found = self.fits.get((word, lang))
-        if found is None:
-            row, marked = self.rows.get(word), f"^{word}$"
-            if self._is_firm(self.words, row if row is not None and row < self.known else None, lang):
-                found = 1.0
-            else:
-                pieces = [marked[i : i + LONGEST] for i in range(max(1, len(marked) - LONGEST + 1))]
-                found = sum(self._is_firm(self.pieces, self.grams.get(g), lang) for g in pieces) / len(pieces)
-            if len(self.fits) > KEPT // 2:
-                self.fits.clear()
-            if len(word) <= 64:
-                self.fits[word, lang] = found
-        return found
-
     def judge(self, text: str | None) -> tuple[str, float, float, float]:
         """Language, score, fit, and the number of words; long ones count as several."""
         words = _LETTERS.findall(text.lower()) if text else []
         lang, score = self._best(words)
-        if lang == UNDETERMINED and not (words and self.languages):
+        if not words or not self.languages:
             return lang, score, 0.0, 0.0
         k = self.languages.index(lang)
-        fit = sum(self.fit_of(w, k) for w in words) / len(words)
+        if k not in self.fits:
+            self.fits[k] = Fits(self, k)
+        fit = sum(map(self.fits[k].__getitem__, words)) / len(words)
         return lang, score, fit, max(len(words), sum(map(len, words)) / 8)
 
-    def fits_badly(self, text: str | None) -> bool:
-        """Whether a text fits its language less than half as well as labelled rows do, by more than two standard errors."""
-        lang, _, fit, n = self.judge(text)
-        norm = self.norms.get(self.languages.index(lang), 0.0) if n else 0.0
-        return n > 0 and fit < norm / 2 - 1 / math.sqrt(n)
-
-
     def belongs(self, text: str | None) -> bool:
-        """Has letters, speaks for one language more than for the others, and fits it. Without languages, has letters."""
-        if not text or not _LETTERS.search(text):
-            return False
+        """Has letters, speaks for one language more than for the others, and fits it. Without languages, has letters.
+
+        A bad fit is one less than half as good as that of labelled rows, by more than two standard errors.
+        """
         n = len(self.languages)
-        if n > 1 and self.predict(text)[1] <= (1 + 1e-6) / n:
+        if not n:
+            return bool(text and _LETTERS.search(text))
+        lang, score, fit, words = self.judge(text)
+        if not words or (n > 1 and score <= (1 + 1e-6) / n):
             return False
-        return n == 0 or not self.fits_badly(text)
+        return fit >= self.norms.get(self.languages.index(lang), 0.0) / 2 - 1 / math.sqrt(words)
 
 
 def _sampled(rows: DataFrame, most: int) -> DataFrame:
@@ -214,8 +243,12 @@ def fit(labelled: DataFrame, id_col: str = ID, text: str = TEXT, lang: str = "la
 
 
 def with_norms(model: Model, labelled: DataFrame, id_col: str = ID, text: str = TEXT, lang: str = "lang") -> Model:
-    """The model, knowing how well labelled rows fit their languages: medians of about ``NORM_DOCS`` rows of each."""
-    rows = _sampled(pick(labelled, id=id_col, text=text, lang=lang).dropna(), NORM_DOCS)
+    """The model, knowing how well labelled rows fit their languages: medians of about ``NORM_DOCS`` rows of each.
+
+    Give rows that the model wasn't fitted on: its own fit it too well. A language without any has no lower bound.
+    """
+    # written down first: else Spark would judge all labelled rows before it draws the sample
+    rows = stored(_sampled(pick(labelled, id=id_col, text=text, lang=lang).dropna(), NORM_DOCS), "norm-rows")
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.StructType().add("lang_pred", "string").add("fit", "double"))
@@ -223,12 +256,24 @@ def with_norms(model: Model, labelled: DataFrame, id_col: str = ID, text: str =
         for texts in parts:
             yield pd.DataFrame([sent.value.judge(t)[::2] for t in texts], columns=["lang_pred", "fit"])
 
-    right = rows.withColumn("j", judged("text")).filter("lang = j.lang_pred")
-    norms = right.groupBy("lang").agg(F.percentile_approx("j.fit", 0.5).alias("norm")).collect()
-    model.norms = {model.languages.index(r.lang): r.norm for r in norms}
+    fit = F.when(F.col("lang") == F.col("j.lang_pred"), F.col("j.fit"))
+    norms = rows.select("lang", judged("text").alias("j")).groupBy("lang").agg(F.percentile_approx(fit, 0.5).alias("norm")).collect()
+    model.norms = {model.languages.index(r.lang): r.norm for r in norms if r.norm is not None and r.lang in model.languages}
+    discard(rows)
     return model
 
 
+def left_out(labelled: DataFrame, text: str = TEXT, lang: str = "lang") -> Column:
+    """A tenth of all texts, equal ones alike, that can tell how well a model fits what it has not seen.
+
+    Only of languages whose texts fall to several tenths, so that none is left out as a whole.
+    """
+    tenth = F.pmod(F.xxhash64(text), F.lit(10))
+    several = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).groupBy(lang).agg(F.count_distinct(tenth).alias("n"))
+    languages = [r[0] for r in several.filter("n >= 5").collect()]  # one row per language
+    return F.coalesce((tenth == 0) & F.col(lang).isin(languages), F.lit(False))
+
+
 def predict(docs: DataFrame, model: Model, text: str = TEXT) -> DataFrame:
     """``docs`` with lang_pred and score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded for each language

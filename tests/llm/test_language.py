@@ -29,7 +29,7 @@ def test_held_out_accuracy(report):
 def test_words_come_first_then_shorter_grams(spark):
     rows = [(1, "the cat the cat sat", "en"), (2, "der hund der hund sitzt", "de"), (3, None, "en"), (4, "le chat", None), (None, "qqq", "de")]
     model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert model.languages == ["de", "en"] and "qqq" not in model.rows and "chat" not in model.rows
+    assert model.languages == ["de", "en"] and "qqq" not in model.known_words and "chat" not in model.known_words
     assert model.predict("THE cat") [0] == "en"
     assert model.predict("hunde")[0] == "de"  # unseen, by its n-grams
     # from each place the longest known n-gram
@@ -52,19 +52,40 @@ def test_defined_results(docs, spark):
 def test_the_sample_is_bounded(spark):
     rows = [(k, f"word{k % 7} text", "en") for k in range(3000)]
     model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_docs=200)
-    assert model.languages == ["en"] and len(model.rows) <= 8
+    assert model.languages == ["en"] and len(model.known_words) <= 8
 
 
 def test_rare_languages_are_learned(spark, monkeypatch):
     """A few rows of two languages, one in a script of its own, among many of a language with a large vocabulary."""
-    monkeypatch.setattr(language, "MOST_ENTRIES", 600, raising=False)
-    monkeypatch.setattr(language, "LEAST_ENTRIES", 200, raising=False)
-    monkeypatch.setattr(language, "MOST_WORDS", 200, raising=False)
-    monkeypatch.setattr(language, "MOST_GRAMS", 200, raising=False)
+    monkeypatch.setattr(language, "MOST_ENTRIES", 600)
+    monkeypatch.setattr(language, "LEAST_ENTRIES", 200)
     many = [(k, f"the cat{'abcdefghij'[k % 10]} sat on mat{'klmnopqrst'[k // 10 % 10]} and {'uvwxyz'[k % 6] * 3}{'abcdefghij'[k // 60 % 10]}", "en") for k in range(3000)]
     few = [(9000 + k, "minä olen täällä tänään", "fi") for k in range(3)] + [(9100 + k, "καλημέρα κόσμε", "el") for k in range(3)]
     model = language.fit(spark.createDataFrame(many + few, "doc_id long, text string, lang string"), most_docs=100)
     assert model.languages == ["el", "en", "fi"]
     assert model.predict("olen täällä")[0] == "fi" and model.predict("κόσμε")[0] == "el" and model.predict("κόσμος")[0] == "el"
     assert model.predict("the cata sat")[0] == "en"
-    assert len(model.rows) <= 700 and model.predict("κόσμος")[1] > 0.5
+    assert len(model.known_words) <= 700 and model.predict("κόσμος")[1] > 0.5
+
+
+def test_the_usual_fit_is_taken_from_texts_left_out(spark):
+    """Clean texts with many rare words stay, junk goes, and a language with one text alone is still learned."""
+    words = ["house", "river", "stone", "table", "garden", "window", "market", "winter", "summer", "bridge", "castle", "forest"]
+    rare = lambda k: " ".join(f"{words[(k * 7 + j) % 12]}{'abcdefghij'[(k + j) % 10]}{'klmnopqrst'[k % 10]}" for j in range(6))
+    rows = [(k, f"the {rare(k)} and {rare(k + 5)} of the {words[k % 12]}", "en") for k in range(400)] + [(900 + k, "olen täällä", "fi") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    apart = language.left_out(docs)
+    assert docs.filter(apart).filter("lang = 'fi'").isEmpty() and 10 < docs.filter(apart).count() < 100
+    model = language.with_norms(language.fit(docs.filter(~apart)), docs.filter(apart))
+    assert model.languages == ["en", "fi"] and list(model.norms) == [0] and model.norms[0] > 0.5
+    assert all(model.belongs(t) for _, t, _ in rows)
+    assert model.belongs("the riverzq and of the gardenzq housezq the") and not model.belongs("zxq vwk jjq xkq zzq pqw vbn " * 6)
+
+
+def test_dropping_what_was_worked_out_changes_nothing(spark, monkeypatch):
+    rows = [(k, f"the {'abcdefghij'[k % 10] * 3}er cat{'klm'[k % 3]} sat", "en") for k in range(60)] + [(100 + k, "der hund saß dort", "de") for k in range(9)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [f"{w}{v} {v}{w} the hund {w * 30}" for w in ("ab", "xyz", "hun") for v in ("cat", "qq", "und")]
+    first = [model.judge(t) for t in texts]
+    monkeypatch.setattr(language, "KEPT", 4)
+    assert [model.judge(t) for t in texts] == first and model.unseen.n <= 16
