@@ -6,11 +6,15 @@ that of the band, so at least s + 1 parts agree whole between two linked documen
 any other lists its filled parts, one of which must be among the agreeing ones. A document enters the band of its own size and
 those of the larger partners it may have. A tile is the set of documents that list one part of one band; no other pairs are ever looked at.
 
-Within a tile, hashed bitmaps (one parity bit per hash value) bound the overlap from above: the bits that differ are at most
-the shingles that differ. Of the pairs that pass, a tile gives only those that would connect what isn't connected yet. They are
-checked by exact intersection of the sorted arrays; a tile that had a pair rejected is gone through again without it, and then
-gives several pairs for each connection it needs, eight times as many in each round. So no group of n copies gives n * n pairs
-at once, and no link between classes is lost. Tiles with many members are cut into blocks.
+Hashed bitmaps (one parity bit per hash value) bound the overlap of two sets from above: the bits that differ are at most the
+shingles that differ. Pairs that pass are checked by exact intersection of the sorted arrays. First each tile pairs all of its
+members with one of them, chosen by a hash, and again with others: that costs a row per member and connects nearly all copies. What then
+isn't connected is compared in full: of the pairs that pass the bitmaps a tile gives only those that would connect something. A
+tile that had a pair rejected is gone through again without it, and then gives several pairs for each connection it needs, eight
+times as many in each round. So no group of n copies gives n * n pairs, and no link between classes is lost. Tiles with many
+members are cut into blocks of all members by those outside of the tile's largest class, since others are connected already.
+
+Keys are dealt out in slices, and every table is deleted once it is used up, so that little is on disk at a time.
 
 Sets are told apart by 64-bit hashes of their 64-bit shingle hashes.
 
@@ -27,15 +31,17 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ID, TEXT, pick, stored
+from llm.common import ID, TEXT, discard, pick, stored
 
 SHINGLE, PERCENT = 3, 90
 BAND = 1.3  # ratio of a band's bounds
 BLOCK = 1024  # most members of a tile that are looked at together
-FIRST_KEYS = 16  # one of so many tiles is gone through first, to connect copies cheaply
+SLICES = 4  # parts of the keys, blocks and pairs that are gone through one after another
+STARS = 3  # members of a tile that all others are compared with first
+SEEN = 100_000  # sets that a task remembers, to describe copies once
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -160,58 +166,175 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per row: node (hash of the set), n_shingles, keys and bitmap. ``docs`` has row and text."""
+    """Per row: node (hash of the set), n_shingles, keys and bitmap; these two are null where the task has given them before."""
 
     def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
         for frame in frames:
             for at in range(0, len(frame), 256):
                 some, out = frame.iloc[at : at + 256], []
-                for row, text in zip(some["row"], some["text"], strict=True):
+                for row, doc_id, text in zip(some["row"], some["doc_id"], some["text"], strict=True):
                     s = shingles(text, k)
-                    out.append((row, np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype("i8"), len(s), parts(s, percent), bitmap(s)))
-                yield pd.DataFrame(out, columns=["row", "node", "n_shingles", "keys", "bitmap"])
-
-    return docs.mapInPandas(found, "row long, node long, n_shingles long, keys array<long>, bitmap binary")
-
-
-def components(spark: SparkSession, links: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Least node reachable by links, for nodes that have any. ``labels``: of earlier links, node and label."""
-    if labels is not None:
-        links = links.union(labels.filter("node <> label").select("node", "label"))
-    a, b = links.columns
-    both = stored(links.union(links.select(b, a)).toDF("a", "b").distinct(), "edges")
+                    node = xxhash.xxh3_64_intdigest(s.tobytes())
+                    new = len(s) > 0 and node not in seen
+                    out.append((row, doc_id, np.uint64(node).astype("i8"), len(s), parts(s, percent) if new else None, bitmap(s) if new else None))
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(node)
+                yield pd.DataFrame(out, columns=["row", "doc_id", "node", "n_shingles", "keys", "bitmap"]).astype({"doc_id": "Int64"})
+
+    return docs.mapInPandas(found, "row long, doc_id long, node long, n_shingles long, keys array<long>, bitmap binary")
+
+
+def components(links: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Least node reachable by links, for nodes that have any. ``labels``: of earlier links, node and label, used up here."""
+    known = links if labels is None else links.union(labels.filter("node <> label").select("node", "label"))
+    a, b = known.columns
+    both = stored(known.union(known.select(b, a)).toDF("a", "b").distinct(), "edges")
     at = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
         near = both.join(at.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         lower = at.join(near, at.node == near.a).select("node", "label", F.least("label", "near").alias("next"))
         jump = at.select(F.col("node").alias("next"), F.col("label").alias("there"))
         moved = stored(lower.join(jump, "next").select("node", F.col("label").alias("was"), F.least("next", "there").alias("label")), "labels")
+        discard(at)
         at = moved.select("node", "label")
         if moved.filter("was <> label").isEmpty():
+            discard(both, *([] if labels is None else [labels]))
             return at
 
 
-def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
-    """node and label of the sets that are linked with others; None if there are none.
-
-    ``arrays_of`` gives node and sorted hashes for a table of nodes.
-    """
-    spark = described.sparkSession
-    sets = stored(described.filter("n_shingles > 0").select("node", "n_shingles", "keys", "bitmap").dropDuplicates(["node"]), "sets")
-    rows = sets.select(F.explode("keys").alias("key"), "node")
-    shared = rows.groupBy("key").count().filter("count > 1").select("key")
-    met = stored(rows.join(shared, "key"), "tiles")
-    # tiles of the same members need going through once
-    members = met.groupBy("key").agg(
+def _tiles(sets: DataFrame) -> DataFrame:
+    """key and node of the tiles that have several members, tiles of the same members once; ``members``: how many."""
+    met = []
+    for part in range(SLICES):
+        mine = F.filter("keys", lambda x: F.pmod(x, F.lit(SLICES)) == part)
+        rows = sets.select(F.explode(mine).alias("key"), "node")
+        shared = rows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("key")
+        found = stored(rows.join(shared, "key"), "met")
+        met.append(stored(found.distinct(), "met"))
+        discard(found)
+    every = reduce(DataFrame.union, met)
+    members = every.groupBy("key").agg(
         F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
     )
     once = members.groupBy("members", "x", "y").agg(F.min("key").alias("key")).select("key", "members")
-    tiles = stored(met.join(once, "key"), "tiles")
+    tiles = stored(every.join(once, "key"), "tiles")
+    discard(*met)
+    return tiles
+
+
+class Links:
+    """What is known of pairs of sets: labels of connected ones, and pairs that turned out not to be linked."""
+
+    def __init__(self, about: DataFrame, arrays: DataFrame, percent: int):
+        self.about, self.arrays, self.percent = about, arrays, percent
+        self.labels: DataFrame | None = None
+        self.rejected: list[DataFrame] = []
+
+    def with_label(self, rows: DataFrame) -> DataFrame:
+        if self.labels is None:
+            return rows.withColumn("label", F.col("node"))
+        return rows.join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def rejects(self) -> DataFrame:
+        return reduce(DataFrame.union, self.rejected, self.about.sparkSession.createDataFrame([], "a long, b long"))
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that the bitmaps don't rule out."""
+        percent = self.percent
+
+        def bounded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yes = []
+                for m, n, x, y in zip(frame["m"], frame["n"], frame["x"], frame["y"], strict=True):
+                    size = min(len(x), len(y)) // 8
+                    differ = int(np.bitwise_count(folded(np.frombuffer(x, "u8"), size) ^ folded(np.frombuffer(y, "u8"), size)).sum())
+                    yes.append(differ * (100 + percent) <= (m + n) * (100 - percent))
+                yield frame.loc[np.array(yes, dtype=bool), ["a", "b"]]
+
+        x = self.about.select(F.col("node").alias("a"), F.col("n_shingles").alias("m"), F.col("bitmap").alias("x"))
+        y = self.about.select(F.col("node").alias("b"), F.col("n_shingles").alias("n"), F.col("bitmap").alias("y"))
+        return pairs.join(x, "a").join(y, "b").mapInPandas(bounded, "a long, b long")
+
+    def judge(self, pairs: DataFrame, slices: int = 1) -> DataFrame:
+        """Check pairs exactly and take up the links; those that are none. Many pairs may be gone through in slices."""
+        percent = self.percent
+
+        def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yes = [linked(np.asarray(x).view("u8"), np.asarray(y).view("u8"), percent) for x, y in zip(frame["x"], frame["y"], strict=True)]
+                yield pd.DataFrame({"a": frame["a"], "b": frame["b"], "yes": np.array(yes, dtype=bool)})
+
+        x = self.arrays.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+        y = self.arrays.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+        parts = []
+        for part in range(slices):
+            mine = F.pmod(F.xxhash64("a"), F.lit(slices)) == part
+            both = pairs.filter(mine).join(x.filter(mine), "a").join(y, "b")
+            parts.append(stored(both.mapInPandas(exact, "a long, b long, yes boolean"), "judged"))
+        judged = reduce(DataFrame.union, parts)
+        links = judged.filter("yes").select("a", "b")
+        if not links.isEmpty():
+            self.labels = components(links, self.labels)
+        wrong = stored(judged.filter("not yes").select("a", "b").distinct(), "rejected")
+        discard(judged)
+        self.rejected.append(wrong)
+        return wrong
+
+
+def _stars(tiles: DataFrame, links: Links) -> DataFrame:
+    """Compare all members of a tile with one, several times; what is left of the tiles then."""
+    for turn in range(STARS):
+        known = links.with_label(tiles.select("key", "node", "members"))
+        one = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("one"), F.col("label").alias("its"))).alias("o")
+        mixed = known.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"), one).filter("l <> m").select("key", "o.one", "o.its")
+        left = stored(known.join(mixed, "key"), "tiles")
+        discard(tiles)
+        tiles = left
+        pairs = left.filter("label <> its").select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
+        likely = stored(links.likely(pairs), "likely")
+        links.judge(likely, SLICES)
+        discard(likely)
+    return tiles.select("key", "node", "members")
+
+
+def _blocks(tiles: DataFrame, links: Links) -> DataFrame:
+    """Tiles with unconnected members, cut up: block (p, q) has a p-th part of all members and a q-th of those outside the largest class."""
+    known = stored(links.with_label(tiles), "tiles")
+    sizes = known.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes")
+    )
+    mixed = known.join(sizes.filter("classes > 1").select("key", "top"), "key")
+    outside = F.col("label") != F.col("top.label")
+    across, down = (F.ceil(n / BLOCK).cast("int") for n in (F.col("members"), F.col("members") - F.col("top.n")))
+    own, other = F.pmod(F.xxhash64(F.lit(2), "node"), across).cast("int"), F.pmod(F.xxhash64(F.lit(3), "node"), down).cast("int")
+    place = lambda p, q: F.struct(p.alias("p"), q.alias("q"))
+    in_all = F.transform(F.sequence(F.lit(0), down - 1), lambda q: place(own, q))
+    in_other = F.transform(F.sequence(F.lit(0), across - 1), lambda p: place(p, other))
+    places = F.when(outside, F.array_union(in_all, in_other)).otherwise(in_all)
+    cut = stored(mixed.select("key", "node", F.explode(places).alias("at")).select("key", "at.p", "at.q", "node"), "blocks")
+    discard(known)
+    return cut
+
+
+def set_classes(sets: DataFrame, arrays_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
+    """node and label of the sets that are linked with others; None if there are none.
+
+    ``sets``: a stored table, deleted here, of node, n_shingles, keys and bitmap, a node at least once. ``arrays_of`` gives node and sorted hashes for a table of nodes.
+    """
+    tiles = _tiles(sets)
     if tiles.isEmpty():
+        discard(tiles, sets)
         return None
-    nodes = tiles.select("node").distinct()
-    about = stored(sets.join(nodes, "node").select("node", "n_shingles", "bitmap"), "bitmaps")
+    nodes = stored(tiles.select("node").distinct(), "nodes")
+    about = stored(sets.select("node", "n_shingles", "bitmap").join(nodes, "node").dropDuplicates(["node"]), "bitmaps")
+    discard(sets)
     arrays = stored(arrays_of(nodes), "arrays")
+    links = Links(about, arrays, percent)
+    tiles = _stars(tiles, links)
+    cut = _blocks(tiles, links)
+    discard(tiles)
 
     def finder(layers: int):
         def candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -227,67 +350,42 @@ def set_classes(described: DataFrame, arrays_of: Callable[[DataFrame], DataFrame
 
         return candidates
 
-    def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yes = [linked(np.asarray(x).view("u8"), np.asarray(y).view("u8"), percent) for x, y in zip(frame["x"], frame["y"], strict=True)]
-            yield pd.DataFrame({"a": frame["a"], "b": frame["b"], "yes": np.array(yes, dtype=bool)})
-
-    labels: DataFrame | None = None
-    rejects = spark.createDataFrame([], "a long, b long")
-    first = tiles.filter(F.pmod("key", F.lit(FIRST_KEYS)) == 0)
-    for some in (first, tiles):
-        # blocks (p, q) of a tile: all members that fall to p or q
-        blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.lit(1)).cast("int")
-        own = F.pmod(F.xxhash64(F.lit(2), "node"), blocks).cast("int")
-        cut = some.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        open_blocks = cut.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node")
-        layers = 1
-        while True:
-            if labels is None:
-                known = open_blocks.withColumn("label", F.col("node"))
-            else:
-                known = open_blocks.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            mixed = known.groupBy("key", "p", "q").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m").select("key", "p", "q")
-            todo = known.join(mixed, ["key", "p", "q"]).join(about, "node")
-            block = ["key", "p", "q"]
+    block = ["key", "p", "q"]
+    for part in range(SLICES):
+        open_blocks, layers, mine = cut.filter(F.pmod(F.xxhash64("key"), F.lit(SLICES)) == part), 1, []
+        while not open_blocks.isEmpty():
+            known = links.with_label(open_blocks)
+            mixed = known.groupBy(*block).agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m").select(*block)
+            todo = stored(known.join(mixed, block), "blocks")
             a, b = (todo.toDF(*todo.columns).select(*[F.col(c).alias(c) for c in block], F.col("node").alias(x)) for x in "ab")
             # a rejected pair is known to every block that holds it
-            gone = a.join(rejects, "a").join(b, [*block, "b"])
+            gone = a.join(links.rejects().distinct(), "a").join(b, [*block, "b"])
             # a block's members are bounded, so they may stand in one row
             member = F.collect_list(F.struct("node", "n_shingles", "bitmap", "label")).alias("m")
             pairs = gone.toDF(*gone.columns).groupBy(*block).agg(F.collect_list(F.struct("a", "b")).alias("gone"))
-            rows = todo.groupBy(*block).agg(member).join(pairs, block, "left").select(
+            rows = todo.join(about, "node").groupBy(*block).agg(member).join(pairs, block, "left").select(
                 *block, F.col("m.node").alias("nodes"), F.col("m.n_shingles").alias("sizes"), F.col("m.bitmap").alias("bitmaps"),
                 F.col("m.label").alias("labels"), F.col("gone.a").alias("a"), F.col("gone.b").alias("b"),
             )
-            found = rows.mapInPandas(finder(layers), "key long, p int, q int, a long, b long")
-            found = stored(found, "candidates")
-            x = arrays.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-            y = arrays.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-            judged = found.select("a", "b").distinct().join(x, "a").join(y, "b").mapInPandas(exact, "a long, b long, yes boolean")
-            judged = stored(judged.dropDuplicates(["a", "b"]), "judged")
-            links = judged.filter("yes").select("a", "b")
-            if not links.isEmpty():
-                labels = components(spark, links, labels)
-            wrong = judged.filter("not yes").select("a", "b")
-            if wrong.isEmpty():
-                break
-            rejects = stored(rejects.union(wrong), "rejected")
-            open_blocks = stored(open_blocks.join(found.join(wrong, ["a", "b"]).select(*block).distinct(), block), "blocks")
-            layers *= 8
-    return labels
+            found = stored(rows.mapInPandas(finder(layers), "key long, p int, q int, a long, b long"), "candidates")
+            wrong = links.judge(found.select("a", "b").distinct())
+            open_blocks = stored(todo.join(found.join(wrong, ["a", "b"]).select(*block).distinct(), block).select(*block, "node"), "blocks")
+            discard(todo, found, *mine)
+            mine, layers = [open_blocks], layers * 8
+        discard(*mine)
+    discard(cut, nodes, about, arrays, *links.rejected)
+    return links.labels
 
 
 def near_duplicate_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str = ID, text: str = TEXT) -> DataFrame:
     """One row per row of ``docs``: doc_id, row (hash of id and text), n_shingles, class and component_id (its least doc_id)."""
     rows = pick(docs, doc_id=id_col, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
-    described = describe(rows.select("row", "text"), k, percent)
-    ids = rows.select("row", "doc_id").distinct()  # equal rows have one entry
-    described = stored(described, "described")
+    described = stored(describe(rows, k, percent), "described")
+    flat = stored(described.select("row", "doc_id", "node", "n_shingles"), "sets")
 
     def arrays_of(nodes: DataFrame) -> DataFrame:
-        wanted = described.join(nodes, "node").groupBy("node").agg(F.min("row").alias("row"))
+        wanted = flat.join(nodes, "node").groupBy("node").agg(F.min("row").alias("row"))
 
         def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
@@ -295,12 +393,12 @@ def near_duplicate_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PER
                     some = frame.iloc[at : at + 256]
                     yield pd.DataFrame({"node": some["node"], "hashes": [shingles(t, k).view("i8") for t in some["text"]]})
 
-        return rows.select("row", "text").join(wanted, "row").mapInPandas(found, "node long, hashes array<long>").dropDuplicates(["node"])
+        # equal rows have one key: a text of each is enough, and stands in its place already
+        texts = rows.select("row", "text").join(wanted, "row").dropDuplicates(["row"])
+        return texts.mapInPandas(found, "node long, hashes array<long>")
 
-    labels = set_classes(described, arrays_of, percent)
-    flat = described.select("row", "node", "n_shingles")
+    labels = set_classes(described.filter("keys is not null").select("node", "n_shingles", "keys", "bitmap"), arrays_of, percent)
     flat = flat.withColumn("label", F.col("node")) if labels is None else flat.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    flat = flat.join(ids, "row").select("row", "doc_id", "n_shingles", "label")
     full = flat.filter("n_shingles > 0")
     least = full.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     empty = flat.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))

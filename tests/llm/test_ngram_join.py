@@ -77,3 +77,24 @@ def test_defined_results(docs):
     got = sorted((tuple(r) for r in ngram_join.class_report(frame).collect()), key=str)
     assert got == sorted([(None, 2, 5), (5, 2, 5), (None, 0, None), (3, 0, 3), (3, 0, 3), (3, 1, 3)], key=str)
     assert ngram_join.class_report(frame.limit(0)).collect() == []
+
+
+def test_one_tile_of_thousands_of_near_copies(spark, monkeypatch):
+    """Connected by rows in proportion to the members: next to nothing is left for the blocks, whose rows grow faster."""
+    rows_in_blocks = []
+    blocks = ngram_join._blocks
+
+    def counted(tiles, links):
+        cut = blocks(tiles, links)
+        rows_in_blocks.append((cut.count(), tiles.count()))
+        return cut
+
+    monkeypatch.setattr(ngram_join, "_blocks", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    base = " ".join(f"'w{k}'" for k in range(60))
+    same = spark.range(20_000).selectExpr("id as doc_id", f"concat_ws(' ', {', '.join(base.split())}, 'end', cast(id as string)) as text")
+    other = spark.range(20_000, 20_040).selectExpr("id as doc_id", f"concat_ws(' ', {', '.join(base.split()[:30])}, cast(id as string), 'x', cast(id * 7 as string)) as text")
+    got = ngram_join.near_duplicate_classes(same.union(other), 3, 90).select("doc_id", "component_id").collect()
+    assert {r.component_id for r in got if r.doc_id < 20_000} == {0}
+    assert len({r.component_id for r in got if r.doc_id >= 20_000}) == len({r.component_id for r in got}) - 1
+    assert len(got) == 20_040 and all(n <= 20_040 * 80 for n, _ in rows_in_blocks)
