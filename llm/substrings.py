@@ -63,10 +63,13 @@ def anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return at, np.where(at + 2 * b <= first + window, AHEAD, BACK)
 
 
-def _repeating(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows whose key stands in more than one row."""
-    twice = rows.groupBy(*keys).count().filter("count > 1").select(*keys)
-    return rows.join(twice, list(keys))
+def _repeating(rows: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key stands in more than one row, and the stored table of such keys, to be deleted after use.
+
+    As both sides of the join are plain shuffles, Spark can split the rows of a key that very many rows have.
+    """
+    twice = stored(rows.groupBy(*keys).count().filter("count > 1").select(*keys), "repeated-keys")
+    return rows.join(twice, list(keys)), twice
 
 
 def _lists(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -102,12 +105,14 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     listed = docs.mapInPandas(find, "k1 long, k2 long, at array<int>, single array<long>, ahead array<long>, back array<long>")
     listed = stored(listed, "anchors")
     rows = listed.select("k1", "k2", F.explode(F.arrays_zip("at", "single", "ahead", "back")).alias("a")).select("k1", "k2", "a.*")
-    once = stored(_repeating(rows, "single").drop("single"), "anchors-1")
-    discard(listed)
+    repeating, keys = _repeating(rows, "single")
+    once = stored(repeating.drop("single"), "anchors-1")
+    discard(listed, keys)
     ways = F.array(F.struct(F.lit(AHEAD).alias("way"), F.col("ahead").alias("double")), F.struct(F.lit(BACK).alias("way"), F.col("back").alias("double")))
     doubled = once.select("k1", "k2", "at", F.explode(ways).alias("w")).select("k1", "k2", "at", "w.*").filter("double <> 0")
     # The codes of a document are as many as it has words at most.
-    left = _repeating(doubled, "double").groupBy("k1", "k2").agg(F.collect_set(F.col("at") * 2 + F.col("way")).alias("codes"))
+    repeating, keys = _repeating(doubled, "double")
+    left = repeating.groupBy("k1", "k2").agg(F.collect_set(F.col("at") * 2 + F.col("way")).alias("codes"))
 
     def extend(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _lists(parts):
@@ -123,11 +128,11 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     kept = docs.join(left, ["k1", "k2"]).select("k1", "k2", "text", "codes")
     wide = stored(kept.mapInPandas(extend, "k1 long, k2 long, start array<int>, hash array<long>, check array<int>"), "windows")
-    discard(once)
+    discard(once, keys)
     full = wide.select("k1", "k2", F.explode(F.arrays_zip("start", "hash", "check")).alias("w")).select("k1", "k2", "w.*")
-    found = _repeating(full, "hash", "check").groupBy("k1", "k2").agg(F.collect_set("start").alias("starts"))
-    found = stored(found, "repeated")
-    discard(wide)
+    repeating, keys = _repeating(full, "hash", "check")
+    found = stored(repeating.groupBy("k1", "k2").agg(F.collect_set("start").alias("starts")), "repeated")
+    discard(wide, keys)
     return found
 
 
