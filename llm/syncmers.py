@@ -9,10 +9,11 @@ reach into them are anchors too, so that short texts have some. The fingerprint
 Likeness is the Dice coefficient of the distinct codes.
 
 Everything is built-in expressions. The next document is found without a global sort: documents fall into many ranges of
-doc_id, and the first of each range also stands behind the last of the range before.
+doc_id, and the first of each range also stands behind the last of the range before. An id that very many documents have, and
+documents without one, are ranges by a hash of the text. Ids may be any 64-bit integers.
 
 Defined results: a null text counts as empty. An empty text has an empty fingerprint, which is like another empty one (1) and
-unlike all others (0). Documents that share an id follow one another in the order of their texts, those without an id come
+unlike all others (0). Documents that share an id follow one another by a hash of their texts, those without an id come
 last. A single document is its own next. Other columns are not read.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from llm.common import ID, TEXT, pick
 
 K, S = 8, 2
-ROWS_PER_RANGE, MOST_RANGES, SEGMENTS = 1000, 1 << 16, 128
+ROWS_PER_RANGE, MOST_RANGES, SEGMENTS = 1000, 1 << 16, 512
 EMPTY = -1
 LONG, ANEW = 20, 4
 
@@ -41,7 +42,7 @@ def _broken(run: Column) -> Column:
 
 def tokens_of(text: Column) -> Column:
     runs = F.transform(F.regexp_extract_all(text, F.lit(r"(\S+)")), lambda r: F.when(F.length(r) > LONG, _broken(r)).otherwise(r))
-    broken = F.when(text.rlike(rf"\S{{{LONG + 1}}}"), F.array_join(runs, " ")).otherwise(text)
+    broken = F.when(text.rlike(rf"(?<!\S)\S{{{LONG + 1}}}"), F.array_join(runs, " ")).otherwise(text)
     return F.regexp_extract_all(broken, F.lit(r"(\S{1,5})"))
 
 
@@ -75,31 +76,56 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(sizes == 0, 1.0).otherwise(2.0 * both / sizes)
 
 
-def with_next(docs: DataFrame, order: str, then: list[str], wanted: list[str]) -> DataFrame:
-    """``docs`` with ``next_`` columns: the following row's, in descending order; the last row is followed by the first."""
+def with_next(docs: DataFrame, order: str, text: str, wanted: list[str]) -> DataFrame:
+    """``docs`` with ``next_`` columns: the following row's, in descending order; the last row is followed by the first.
+
+    Rows of one ``order`` value follow by a hash of ``text``, then by the text itself.
+    """
+    at = F.col(order)
     fractions = [k / SEGMENTS for k in range(1, SEGMENTS)]
-    first, last, rows, cuts = docs.agg(F.min(order), F.max(order), F.count("*"), F.percentile_approx(order, fractions, 10_000)).first()
-    edges = sorted({first, *(cuts or [])} - {None})
-    steps = max(1, min(rows // ROWS_PER_RANGE, MOST_RANGES) // SEGMENTS)
-    if edges:
-        # a segment between quantiles, and a part of it by proportion
-        segment = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col(order)))
-        low, high = F.array(*[F.lit(e) for e in edges]), F.array(*[F.lit(e) for e in [*edges[1:], last + 1]])
-        begin, end = F.get(low, segment - 1), F.get(high, segment - 1)
-        part = F.least(F.floor((F.col(order) - begin) * steps / (end - begin)), F.lit(steps - 1))
-        ranged = docs.withColumn("_range", F.when(F.col(order).isNull(), -1).otherwise(segment * steps + part).cast("long"))
-    else:
-        ranged = docs.withColumn("_range", F.lit(-1).cast("long"))
-    found = sorted((r[0], r[1]) for r in ranged.groupBy("_range").agg(F.max(order)).collect())  # MOST_RANGES rows at most
-    if not found:
-        found = [(-1, None)]
+    told = docs.agg(F.min(order), F.max(order), F.count("*"), F.count(order), F.percentile_approx(order, fractions, 10_000))
+    least, last, n, with_id, cuts = told.first()
+    cuts = cuts or []
+    # segments by their least value, each with the rows it about has; a value that is several quantiles is one of its own
+    segments: dict[int, tuple[int, bool]] = {}
+    if last is not None:
+        share = -(-with_id // SEGMENTS)
+        segments[-(1 << 63)] = (share, False)
+        for cut in sorted(set(cuts)):
+            times = cuts.count(cut)
+            segments[cut] = (share * times, times > 1)
+            if times > 1 and cut < (1 << 63) - 1:
+                segments.setdefault(cut + 1, (share, False))
+    lows = sorted(segments)
+    rows_in = [n - with_id, *[segments[low][0] for low in lows]]  # the first one: without an id
+    scale = max(1.0, n / ROWS_PER_RANGE / MOST_RANGES)
+    steps = [max(1, int(r / ROWS_PER_RANGE / scale)) for r in rows_in]
+    before = [sum(steps[:k]) for k in range(len(steps))]
+    by_hash = [True, *[segments[low][1] for low in lows]]
+    ends = [0.0, *[float(x) for x in [*lows[1:], last or 0]]]
+    begins = [0.0, *[float(x) for x in lows]]
+    if lows:
+        begins[1] = float(least)
+    segment = F.coalesce(F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in lows]), lambda x: x <= at)), F.lit(0)) if lows else F.lit(0)
+    segment = F.when(at.isNull(), 0).otherwise(segment)
+    of = lambda values, kind: F.get(F.array(*[F.lit(v) for v in values]), F.col("_segment")).cast(kind)
+    mark = F.xxhash64(text)
+    from_top = F.shiftrightunsigned(mark, 11) / float(1 << 53)  # the least mark comes first, in the highest part
+    low, high = of(begins, "double"), of(ends, "double")
+    share_of = F.when(of(by_hash, "boolean"), 1.0 - from_top).otherwise(F.when(high > low, (at.cast("double") - low) / (high - low)).otherwise(0.0))
+    part = F.least(F.greatest(F.floor(share_of * of(steps, "double")), F.lit(0)), of(steps, "long") - 1)
+    ranged = docs.withColumn("_segment", segment).withColumn("_mark", F.shiftrightunsigned(mark, 11))
+    ranged = ranged.withColumn("_range", of(before, "long") + part).drop("_segment")
+    top = F.max(F.struct(F.col(order).alias("id"), (-F.col("_mark")).alias("mark")))
+    found = sorted((r[0], r[1].id, r[1].mark) for r in ranged.groupBy("_range").agg(top).collect())  # MOST_RANGES rows, and SEGMENTS, at most
     # the first row of each range is shown once more behind the range above it; the very first behind the lowest
-    shown = [(r, top, found[k + 1][0] if k + 1 < len(found) else found[0][0]) for k, (r, top) in enumerate(found)]
-    tops = docs.sparkSession.createDataFrame(shown, "_at long, _top long, _behind long")
-    joined = ranged.join(F.broadcast(tops), (F.col("_range") == F.col("_at")) & F.col(order).eqNullSafe(F.col("_top")), "left")
+    shown = [(r, i, m, found[(k + 1) % len(found)][0]) for k, (r, i, m) in enumerate(found)]
+    tops = docs.sparkSession.createDataFrame(shown, "_at long, _top long, _its long, _behind long")
+    first = (F.col("_range") == F.col("_at")) & at.eqNullSafe(F.col("_top")) & (F.col("_mark") == -F.col("_its"))
+    joined = ranged.join(F.broadcast(tops), first, "left")
     places = F.filter(F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("ghost")), F.struct(F.col("_behind").alias("r"), F.lit(True).alias("ghost"))), lambda p: p["r"].isNotNull())
     spread = joined.withColumn("_place", F.explode(places)).withColumns({"_range": F.col("_place.r"), "_ghost": F.col("_place.ghost")})
-    down = Window.partitionBy("_range").orderBy("_ghost", F.desc_nulls_last(order), *then)
+    down = Window.partitionBy("_range").orderBy("_ghost", F.desc_nulls_last(order), "_mark", text)
     led = spread.withColumns({f"next_{c}": F.lead(c).over(down) for c in wanted}).filter("not _ghost")
     return led.select(*docs.columns, *[f"next_{c}" for c in wanted])
 
@@ -108,7 +134,7 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited form: the last third replaced by the beginning of the next document."""
     rows = pick(docs, ID, TEXT).withColumn(TEXT, F.coalesce(F.col(TEXT), F.lit("")))
     rows = rows.withColumn("codes", anchors(F.col(TEXT)))
-    near = with_next(rows, ID, [TEXT], [TEXT, "codes"])
+    near = with_next(rows, ID, TEXT, [TEXT, "codes"])
     near = near.withColumn("n_chars", F.length(TEXT).cast("long"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
     kept = F.col(TEXT).substr(F.lit(1), F.col("n_chars").cast("int") - third)

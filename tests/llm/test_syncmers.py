@@ -19,8 +19,21 @@ def spark_hash(values):
     return seed - (1 << 64) if seed >> 63 else seed
 
 
+def tokens_of(text):
+    """Pieces of five characters, anew at each word, and in long stretches wherever the three characters before say so."""
+    found = []
+    for run in re.findall(r"[^ \t\n\x0b\f\r]+", text):
+        starts = {0}
+        if len(run) > 20:
+            starts |= {i for i in range(3, len(run)) if spark_hash(run[i - 3 : i]) % 4 == 0}
+        edges = [*sorted(starts), len(run)]
+        for a, b in zip(edges, edges[1:]):
+            found += [run[i : min(i + 5, b)] for i in range(a, b, 5)]
+    return found
+
+
 def brute(text, k=8, s=2):
-    tokens = [-1] * (k - 1) + [spark_hash([t]) for t in re.findall(r"[^ \t\n\x0b\f\r]{1,5}", text)]
+    tokens = [-1] * (k - 1) + [spark_hash([t]) for t in tokens_of(text)]
     inner = [spark_hash(tokens[i : i + s]) for i in range(len(tokens) - s + 1)]
     codes = []
     for i in range(len(tokens) - k + 1):
@@ -34,21 +47,59 @@ def dice(a, b):
     return 2 * len(set(a) & set(b)) / (len(set(a)) + len(set(b))) if a or b else 1.0
 
 
+BLANKLESS = "".join(random.Random(9).choice("abcdefgh0123\u65e5\u672c\U0001f642") for _ in range(2000))
+
+
+def follow(rows):
+    """Ids descending, none last; rows of one id by a hash of their texts."""
+    mark = lambda t: (spark_hash([t]) % 2**64) >> 11
+    return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), mark(r[1] or ""), r[1] or ""))
+
+
+def edited(text, after):
+    third = len(text) // 3
+    return text[: len(text) - third] + after[:third]
+
+
+def plain_edits(rows):
+    order = follow(rows)
+    texts = [t or "" for _, t in order]
+    return [(i, hashlib.sha256(edited(t, texts[(k + 1) % len(texts)]).encode()).hexdigest()) for k, ((i, _), t) in enumerate(zip(order, texts))]
+
+
+def test_any_ids_hot_ids_and_many_without_an_id(docs, monkeypatch):
+    """Ids at both ends of 64 bits and hashes; a third of rows with one id, a third without; many ranges."""
+    monkeypatch.setattr(syncmers, "ROWS_PER_RANGE", 3)
+    rnd = random.Random(2)
+    ids = [rnd.randint(-(2**63), 2**63 - 1) for _ in range(60)] + [2**63 - 1, -(2**63), 0, 1, 2] + [77] * 60 + [None] * 60 + [2**63 - 1] * 20
+    rows = [(i, f"text {rnd.randint(0, 10**6)} of its own {k % 9}" if k % 5 else None) for k, i in enumerate(ids)]
+    got = syncmers.fingerprint_report(docs(*[t for _, t in rows], ids=ids)).collect()
+    assert sorted(((r.doc_id, r.edited_sha256) for r in got), key=str) == sorted(plain_edits(rows), key=str)
+
+
+def test_ids_of_thirty_million_documents_do_not_overflow(docs, monkeypatch):
+    monkeypatch.setattr(syncmers, "ROWS_PER_RANGE", 1e-4)
+    rnd = random.Random(4)
+    ids = [rnd.randint(-(2**63), 2**63 - 1) for _ in range(300)]
+    rows = [(i, f"t{k} x y") for k, i in enumerate(ids)]
+    got = syncmers.fingerprint_report(docs(*[t for _, t in rows], ids=ids)).collect()
+    assert sorted((r.doc_id, r.edited_sha256) for r in got) == sorted(plain_edits(rows))
+
+
 def test_equals_brute_force(docs, monkeypatch):
     monkeypatch.setattr(syncmers, "ROWS_PER_RANGE", 1)
-    texts = ["", None, "one", "one two three four five six seven eight nine ten " * 8, "é\U0001f642 x " * 30, "same", "same", "abc" * 3000, " \n", "a b"]
-    ids = [5, 9, -4, 10**12, 7, 8, 6, 11, 12, None]
+    texts = ["", None, "one", "one two three four five six seven eight nine ten " * 8, "é\U0001f642 x " * 30, "same", "same", "abc" * 3000, " \n", "a b", BLANKLESS, "see " + BLANKLESS[5:900]]
+    ids = [5, 9, -4, 10**12, 7, 8, 6, 11, 12, None, 2**63 - 1, -(2**63)]
     got = {r.doc_id: r for r in syncmers.fingerprint_report(docs(*texts, ids=ids)).collect()}
-    order = sorted(zip(ids, texts, strict=True), key=lambda r: (r[0] is None, -(r[0] or 0)))
+    order = follow(zip(ids, texts, strict=True))
     for k, (i, text) in enumerate(order):
         text, after = text or "", order[(k + 1) % len(order)][1] or ""
-        third = len(text) // 3
-        edited = text[: len(text) - third] + after[:third]
+        changed = edited(text, after)
         r = got[i]
-        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
         assert r.fingerprint == "".join(f"{c:08X}" for c in brute(text))
-        assert r.edited_fingerprint == "".join(f"{c:08X}" for c in brute(edited))
-        assert (r.near_edited, r.near_next) == (dice(brute(text), brute(edited)), dice(brute(text), brute(after)))
+        assert r.edited_fingerprint == "".join(f"{c:08X}" for c in brute(changed))
+        assert (r.near_edited, r.near_next) == (dice(brute(text), brute(changed)), dice(brute(text), brute(after)))
     assert got[8].fingerprint == got[6].fingerprint
 
 
