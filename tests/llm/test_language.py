@@ -89,3 +89,64 @@ def test_dropping_what_was_worked_out_changes_nothing(spark, monkeypatch):
     first = [model.judge(t) for t in texts]
     monkeypatch.setattr(language, "KEPT", 4)
     assert [model.judge(t) for t in texts] == first and model.unseen.n <= 16
+
+
+def plain_prediction(rows, text):
+    """Language and score from counts alone, without tables of any kind."""
+    import math
+    import re
+
+    words = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    counts = {}
+    for _, t, lang in rows:
+        for w in words(t):
+            counts.setdefault(lang, {}).setdefault(w, 0)
+            counts[lang][w] += 1
+    grams = {
+        lang: {} for lang in counts
+    }
+    for lang, held in counts.items():
+        for w, n in held.items():
+            marked = f"^{w}$"
+            for k in range(1, 5):
+                for i in range(max(1, len(marked) - k + 1)):
+                    g = marked[i : i + k]
+                    grams[lang][g] = grams[lang].get(g, 0) + n
+
+    def scores(table, key):
+        whole = {lang: sum(held.values()) for lang, held in table.items()}
+        floor = 0.5 / max(whole.values())
+        return {lang: math.log1p(held.get(key, 0) / whole[lang] / floor) for lang, held in table.items()}
+
+    total = dict.fromkeys(counts, 0.0)
+    found = words(text)
+    for w in found:
+        if any(w in held for held in counts.values()):
+            parts = [scores(counts, w)]
+        else:
+            marked, parts = f"^{w}$", []
+            for i in range(len(marked) - 1):
+                for k in range(min(4, len(marked) - i), int(i == 0), -1):
+                    if any(marked[i : i + k] in held for held in grams.values()):
+                        parts.append(scores(grams, marked[i : i + k]))
+                        break
+        for lang in total:
+            total[lang] += sum(p[lang] for p in parts) / max(1, len(parts))
+    best = max(sorted(total), key=lambda x: total[x])
+    weight = min(len(found), 20) / len(found)
+    return best, 1 / sum(math.exp((v - total[best]) * weight) for v in total.values())
+
+
+def test_equals_a_plain_computation(spark):
+    import random
+
+    rnd = random.Random(7)
+    syllables = {"aa": ["ka", "mi", "to", "ér"], "bb": ["schn", "eu", "gen", "ka"], "cc": ["lli", "ño", "mi", "que"]}
+    say = lambda lang, n: " ".join("".join(rnd.choice(syllables[lang]) for _ in range(rnd.randint(1, 3))) for _ in range(n))
+    rows = [(k, say(lang, rnd.randint(1, 12)), lang) for k in range(60) for lang in [rnd.choice(list(syllables))]]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    for _ in range(200):
+        text = say(rnd.choice(list(syllables)), rnd.randint(1, 30)) + rnd.choice(["", " zzz", " x1y", " Kato"])
+        lang, score = plain_prediction(rows, text)
+        got = model.predict(text)
+        assert got[0] == lang and got[1] == pytest.approx(score, rel=1e-4)

@@ -29,7 +29,8 @@ def brute(rows):
             before = level
         found = []
         for at, (level, lines) in enumerate(passages):
-            for kind, unit in [(0, "\n".join(lines)), *((1, x) for x in lines)]:
+            whole = "\n".join(lines)
+            for kind, unit in [(0, whole), *((1, x) for x in re.split(r"\n\s*\n", whole)), *((2, x) for x in lines)]:
                 if good(norm(unit)) and norm(unit) in said:
                     found.append((level, at, kind, said[norm(unit)]))
         if found:
@@ -48,8 +49,13 @@ def test_equals_brute_force(spark):
         texts = []
         for turn in range(12):
             lines = [" ".join(rnd.choice(["Yes", "no", "why", "it"]) for _ in range(rnd.randint(1, 4))) for _ in range(rnd.randint(1, 4))]
+            lines[1:1] = [""] * rnd.randint(0, 1)
             for _ in range(rnd.randint(0, 2)):
-                if texts:
+                if texts and rnd.random() < 0.4:  # some paragraphs of a message, wrapped anew
+                    parts = [x for x in re.split(r"\n\s*\n", re.sub(r"(?m)^[>\s]+", "", rnd.choice(texts))) if x.strip()]
+                    picked = [re.sub(r"\s+", rnd.choice([" ", "\n> "]), x.strip()) for x in parts[rnd.randint(0, 1) : rnd.randint(1, 3)]]
+                    lines[:0] = [f"> {x}" for x in "\n>\n> ".join(picked).split("\n> ")] if picked else []
+                elif texts:
                     lines[:0] = [rnd.choice([">", "> ", ">> ", "> > "]) + x.upper() for x in rnd.choice(texts).split("\n")[: rnd.randint(1, 4)]]
             texts.append("\n".join(lines))
             rows.append((conv, turn, "user", texts[-1], "c", 1))
