@@ -108,3 +108,14 @@ def test_ratios(value):
     assert value(nm.percent(F.lit(1), F.lit(0))) is None
     assert [value(nm.round_to_long(F.lit(x))) for x in (2.5, 3.5, -2.5)] == [3, 4, -3]
     assert value(nm.zero_unless(null != 0, F.lit(5))) == 0
+
+
+def test_search_ignores_case_and_the_form_of_characters(spark):
+    wide = "".join(chr(ord(c) + 0xFEE0) if c != " " else c for c in "VERNACULAR speech")
+    said = ["VERNACULAR Speech", wide, "\u00e9 vernacular x", "a Caf\u00c9 b", "a cafe\u0301 b", "a cafe b", "of\ufb01ce \u00e9", "\ufb01", None, ""]
+    df = spark.createDataFrame(list(enumerate(said)), "i int, t string")
+    found = lambda needle: [r.i for r in df.filter(tx.contains_ci(df["t"], needle)).orderBy("i").collect()]
+    assert found("vernacular SPEECH") == [0, 1]
+    assert found("café") == found("CAFÉ") == [3, 4]
+    assert found("cafe ") == [5]
+    assert found("office") == [6]
