@@ -39,8 +39,8 @@ from llm.common import ID, TEXT, discard, pick, stored
 SHINGLE, PERCENT = 3, 90
 BAND = 1.3  # ratio of a band's bounds
 BLOCK = 1024  # most members of a tile that are looked at together
-SLICES = 4  # parts of the keys, blocks and pairs that are gone through one after another
-STARS = 3  # members of a tile that all others are compared with first
+SLICES, PARTS = 4, 2  # parts of the keys, and of blocks and pairs, that are gone through one after another
+STARS = 2  # members of a tile that all others are compared with first
 SEEN = 100_000  # sets that a task remembers, to describe copies once
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -294,7 +294,7 @@ def _stars(tiles: DataFrame, links: Links) -> DataFrame:
         tiles = left
         pairs = left.filter("label <> its").select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
         likely = stored(links.likely(pairs), "likely")
-        links.judge(likely, SLICES)
+        links.judge(likely, PARTS)
         discard(likely)
     return tiles.select("key", "node", "members")
 
@@ -351,8 +351,8 @@ def set_classes(sets: DataFrame, arrays_of: Callable[[DataFrame], DataFrame], pe
         return candidates
 
     block = ["key", "p", "q"]
-    for part in range(SLICES):
-        open_blocks, layers, mine = cut.filter(F.pmod(F.xxhash64("key"), F.lit(SLICES)) == part), 1, []
+    for part in range(PARTS):
+        open_blocks, layers, mine = cut.filter(F.pmod(F.xxhash64("key"), F.lit(PARTS)) == part), 1, []
         while not open_blocks.isEmpty():
             known = links.with_label(open_blocks)
             mixed = known.groupBy(*block).agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m").select(*block)
