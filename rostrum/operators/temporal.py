@@ -121,6 +121,26 @@ def position_segments(
     return segments.withColumn("count_positions", F.size("positions").cast("bigint"))
 
 
+def _positions_of_rows(
+    rows: DataFrame, calendar: DataFrame, intervals: DataFrame, date: str, keys: Sequence[str], position: str, start: str,
+    end: str, as_of: Column | None = None,
+) -> DataFrame:
+    """``concurrent_positions_by_date`` of given rows: one list per key with all it ever holds, met once, by key.
+
+    Rows that lie by key already aren't moved, and no date is listed for a key that has no row on it. The list is bounded by
+    its meaning, the positions of one person.
+    """
+    until = open_end(F.col(end), as_of)
+    term = F.struct(F.col(start).alias("f"), until.alias("t"), F.col(position).alias("p"))
+    held = intervals.filter(F.col(start) <= until).groupBy(*keys).agg(F.collect_list(term).alias("__held"))
+    days = calendar.select(F.col(date).cast("date").alias(date)).distinct().withColumn("__listed", F.lit(True))
+    met = left_lookup(left_lookup(rows, held, keys), F.broadcast(days), [date])
+    met = met.withColumn("__now", F.filter("__held", lambda h: F.col("__listed") & F.col(date).between(h["f"], h["t"])))
+    names = F.array_sort(F.filter(F.transform("__now", lambda h: h["p"]), lambda p: p.isNotNull()))
+    met = met.withColumn("positions", F.when(F.size("__now") > 0, names))
+    return met.select(*rows.columns, "positions", F.when(F.col("positions").isNotNull(), F.size("positions").cast("bigint")).alias("count_positions"))
+
+
 def concurrent_positions_by_date(
     calendar: DataFrame,
     intervals: DataFrame,
@@ -130,11 +150,16 @@ def concurrent_positions_by_date(
     start: str,
     end: str,
     as_of: Column | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Positions held by each key on each calendar date, with their number.
 
-    Dates meet segments, whose lists are built once, not single positions.
+    Dates meet segments, whose lists are built once, not single positions. With ``rows`` (keys and date among their columns)
+    the answer is for these alone: they come back with both columns added, NULL where nothing is held or the date is not in
+    the calendar.
     """
+    if rows is not None:
+        return _positions_of_rows(rows, calendar, intervals, date, keys, position, start, end, as_of)
     segments = position_segments(intervals, keys, position, start, end, as_of)
     found = _on_days(segments, calendar, date, "__from", "__to")
     return found.select(date, *keys, "positions", "count_positions")

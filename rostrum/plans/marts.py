@@ -22,12 +22,15 @@ def _seats(positions: DataFrame) -> DataFrame:
     )
 
 
-def mart_prep_appointment_by_date(sittings: DataFrame, positions: DataFrame, as_of: Column | None = None) -> DataFrame:
+def mart_prep_appointment_by_date(
+    sittings: DataFrame, positions: DataFrame, as_of: Column | None = None, rows: DataFrame | None = None
+) -> DataFrame:
+    """Appointments held on each sitting date; with ``rows`` (member_name, date) added to these, instead of for all dates."""
     held = positions.filter("type = 'appointment' and member_name is not null").select(
         "member_name", "member_position", "effective_from_date", "effective_to_date"
     )
     return concurrent_positions_by_date(
-        sittings, held, "date", ["member_name"], "member_position", "effective_from_date", "effective_to_date", as_of
+        sittings, held, "date", ["member_name"], "member_position", "effective_from_date", "effective_to_date", as_of, rows
     ).withColumnsRenamed({"positions": "appointments", "count_positions": "count_concurrent_appointments"})
 
 
@@ -138,17 +141,22 @@ def member_days(
     members: DataFrame,
     party: DataFrame,
     positions: DataFrame,
-    appointments: DataFrame,
+    sittings: DataFrame,
+    appointments: DataFrame | None = None,
     as_of: Column | None = None,
 ) -> DataFrame:
     """What is known of each speaker on each day they spoke.
 
+    ``appointments`` by date are told for these days alone, unless they are given.
+
     One row per (member, date, parliament), so a member who made a third of all
     speeches has as many rows as days, and no member attribute is ever joined to the
     texts themselves.
     """
     days = dated_speeches.select("member_name", "date", "parliament").filter("member_name is not null").distinct()
     seated = with_history(days, member_histories(members, party, positions, as_of))
+    if appointments is None:
+        return mart_prep_appointment_by_date(sittings, positions, as_of, seated)
     return left_lookup(seated, appointments, ["member_name", "date"])
 
 
@@ -159,7 +167,7 @@ def mart_speeches(
     members: DataFrame,
     party: DataFrame,
     positions: DataFrame,
-    appointments: DataFrame,
+    appointments: DataFrame | None = None,
     as_of: Column | None = None,
     compat: bool = False,
     texts: DataFrame | None = None,
@@ -173,7 +181,7 @@ def mart_speeches(
     dated = left_lookup(
         worded_speeches(speeches) if texts is None else speeches, sittings.select("date", "parliament", "session", "volume", "sittings"), ["date"]
     )
-    speakers = member_days(dated, members, party, positions, appointments, as_of)
+    speakers = member_days(dated, members, party, positions, sittings, appointments, as_of)
     about = topics.select(
         "topic_id", "title", "section_type", "section_type_name", "is_topic_constitutional", "is_topic_procedural"
     )

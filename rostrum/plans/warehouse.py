@@ -219,8 +219,7 @@ class Warehouse:
             speeches, texts = rows.drop("text"), rows.select("row_id", "text")
         return marts.mart_speeches(
             speeches, self.dim_topics, self.fact_sittings, self.dim_members, self.party,
-            self.dim_prep_member_positions, self.mart_prep_appointment_by_date, self.as_of, self.compat,
-            texts,
+            self.dim_prep_member_positions, as_of=self.as_of, compat=self.compat, texts=texts,
         )
 
     @_model
