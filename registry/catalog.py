@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rostrum.sources.tables import total_bytes
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -52,7 +54,17 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def dealt(df: DataFrame) -> DataFrame:
-    """A table of fewer files than cores, which as many tasks would read: deal its rows to all cores. Larger ones stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < min(cores, 64) else df
+DEAL = 8 << 20  # bytes of a table's files for each part
+
+
+def dealt(df: DataFrame, *keys: str, beside: DataFrame | None = None) -> DataFrame:
+    """A table of few files, which as few tasks would read: deal its rows to all cores, and to more parts as it grows.
+
+    So no part, nor what a task holds of it, grows with the table. Tables of many files stay as they are, unless ``keys`` are
+    given, by which rows are brought together: joins and groups on these keys then need no shuffle of their own. ``beside``:
+    a larger table that these rows meet, whose size then tells the number of parts.
+    """
+    cores, files = df.sparkSession.sparkContext.defaultParallelism, (df if beside is None else beside).inputFiles()
+    if not keys and len(files) >= min(cores, 64):
+        return df
+    return df.repartition(max(cores, -(-total_bytes(df.sparkSession, files) // DEAL)), *keys)

@@ -649,7 +649,8 @@ def url_patterns(spark, d):
           from lineitem join orders on l_orderkey = o_orderkey group by 1, 2, 3, 4, 5""")
 def dates_and_rounding(spark, d):
     orders = load_table(spark, d, "orders").select(D("o_orderkey").alias("l_orderkey"), day("o_orderdate").alias("od"))
-    rows = load_table(spark, d, "lineitem").select("l_orderkey", day("l_shipdate").alias("sd"), "l_quantity").join(orders, "l_orderkey")
+    lines = dealt(load_table(spark, d, "lineitem"), "l_orderkey")  # the join and the groups below stay within these parts
+    rows = lines.select("l_orderkey", day("l_shipdate").alias("sd"), "l_quantity").join(orders, "l_orderkey")
     end = temporal.open_end(F.lit(None).cast("date"), F.to_date(F.lit("2002-01-01")))
     return portable(rows.groupBy(
         "l_orderkey", F.year("sd").alias("yr"), F.month("sd").alias("mo"), F.datediff("sd", "od").alias("lag_days"),

@@ -93,6 +93,12 @@ def _files(spark: SparkSession, path: str):
     return hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()), lambda *names: hadoop("/".join([path, *names]))
 
 
+def total_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Size of files as they are stored."""
+    found = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths)
+    return sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in found)
+
+
 def _versions(spark: SparkSession, path: str) -> dict[int, str]:
     """Folder names by number of commit."""
     fs, at = _files(spark, path)
