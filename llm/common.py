@@ -56,18 +56,25 @@ def scratch(spark: SparkSession, name: str) -> str:
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """Written once and read back: the lineage ends there and lost executors lose nothing.
 
-    The shuffle files of the write are of no more use then, so Spark is asked to delete them with it.
+    The shuffle files of the write are of no more use then, so Spark is asked to delete them with it. ``batch``: most rows that
+    Python functions get at a time, where these are whole texts.
     """
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    before = spark.conf.get(_CLEAN_UP, None)
-    spark.conf.set(_CLEAN_UP, "true")
+    wanted = {_CLEAN_UP: "true"} | ({} if batch is None else {_BATCH: str(batch)})
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -41,6 +41,7 @@ BAND = 1.3  # ratio of a band's bounds
 BLOCK = 1024  # most members of a tile that are looked at together
 SLICES, PARTS = 4, 2  # parts of the keys, and of blocks and pairs, that are gone through one after another
 STARS = 2  # members of a tile that all others are compared with first
+TEXTS = 500  # whole texts that a task holds at a time
 SEEN = 100_000  # sets that a task remembers, to describe copies once
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -330,7 +331,7 @@ def set_classes(sets: DataFrame, arrays_of: Callable[[DataFrame], DataFrame], pe
     nodes = stored(tiles.select("node").distinct(), "nodes")
     about = stored(sets.select("node", "n_shingles", "bitmap").join(nodes, "node").dropDuplicates(["node"]), "bitmaps")
     discard(sets)
-    arrays = stored(arrays_of(nodes), "arrays")
+    arrays = stored(arrays_of(nodes), "arrays", TEXTS)
     links = Links(about, arrays, percent)
     tiles = _stars(tiles, links)
     cut = _blocks(tiles, links)
@@ -381,7 +382,7 @@ def near_duplicate_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PER
     """One row per row of ``docs``: doc_id, row (hash of id and text), n_shingles, class and component_id (its least doc_id)."""
     rows = pick(docs, doc_id=id_col, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
-    described = stored(describe(rows, k, percent), "described")
+    described = stored(describe(rows, k, percent), "described", TEXTS)
     flat = stored(described.select("row", "doc_id", "node", "n_shingles"), "sets")
 
     def arrays_of(nodes: DataFrame) -> DataFrame:
