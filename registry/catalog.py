@@ -54,7 +54,7 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-DEAL = 8 << 20  # bytes of a table's files for each part
+DEAL = 2 << 20  # bytes of a table's files for each part
 
 
 def dealt(df: DataFrame, *keys: str, beside: DataFrame | None = None) -> DataFrame:

@@ -121,6 +121,25 @@ def position_segments(
     return segments.withColumn("count_positions", F.size("positions").cast("bigint"))
 
 
+def positions_held(
+    intervals: DataFrame, keys: Sequence[str], position: str, start: str, end: str, as_of: Column | None = None
+) -> DataFrame:
+    """All that each key ever holds, as one list ``held``; its length is bounded by its meaning, the positions of one person."""
+    until = open_end(F.col(end), as_of)
+    term = F.struct(F.col(start).alias("f"), until.alias("t"), F.col(position).alias("p"))
+    return intervals.filter(F.col(start) <= until).groupBy(*keys).agg(F.collect_list(term).alias("held"))
+
+
+def positions_on_date(rows: DataFrame, calendar: DataFrame, date: str) -> DataFrame:
+    """Rows with a list ``held``, which gives way to the positions held on their date, if that is in the calendar."""
+    days = calendar.select(F.col(date).cast("date").alias(date)).distinct().withColumn("__listed", F.lit(True))
+    met = left_lookup(rows, F.broadcast(days), [date])
+    met = met.withColumn("__now", F.filter("held", lambda h: F.col("__listed") & F.col(date).between(h["f"], h["t"])))
+    names = F.array_sort(F.filter(F.transform("__now", lambda h: h["p"]), lambda p: p.isNotNull()))
+    met = met.withColumn("positions", F.when(F.size("__now") > 0, names)).drop("held", "__now", "__listed")
+    return met.withColumn("count_positions", F.when(F.col("positions").isNotNull(), F.size("positions").cast("bigint")))
+
+
 def _positions_of_rows(
     rows: DataFrame, calendar: DataFrame, intervals: DataFrame, date: str, keys: Sequence[str], position: str, start: str,
     end: str, as_of: Column | None = None,
@@ -130,15 +149,9 @@ def _positions_of_rows(
     Rows that lie by key already aren't moved, and no date is listed for a key that has no row on it. The list is bounded by
     its meaning, the positions of one person.
     """
-    until = open_end(F.col(end), as_of)
-    term = F.struct(F.col(start).alias("f"), until.alias("t"), F.col(position).alias("p"))
-    held = intervals.filter(F.col(start) <= until).groupBy(*keys).agg(F.collect_list(term).alias("__held"))
-    days = calendar.select(F.col(date).cast("date").alias(date)).distinct().withColumn("__listed", F.lit(True))
-    met = left_lookup(left_lookup(rows, held, keys), F.broadcast(days), [date])
-    met = met.withColumn("__now", F.filter("__held", lambda h: F.col("__listed") & F.col(date).between(h["f"], h["t"])))
-    names = F.array_sort(F.filter(F.transform("__now", lambda h: h["p"]), lambda p: p.isNotNull()))
-    met = met.withColumn("positions", F.when(F.size("__now") > 0, names))
-    return met.select(*rows.columns, "positions", F.when(F.col("positions").isNotNull(), F.size("positions").cast("bigint")).alias("count_positions"))
+    held = positions_held(intervals, keys, position, start, end, as_of)
+    met = positions_on_date(left_lookup(rows, held, keys), calendar, date)
+    return met.select(*rows.columns, "positions", "count_positions")
 
 
 def concurrent_positions_by_date(

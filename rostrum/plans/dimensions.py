@@ -43,15 +43,17 @@ def dim_members(
     full_name: DataFrame,
     image: DataFrame,
     positions: DataFrame,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per attending member. All inputs shuffle on the member's name once.
 
     Histories come from a single pass over the positions. Several current
-    constituencies of one member give one row each.
+    constituencies of one member give one row each. ``parts``: so many for attendance, which comes together by member before
+    anything is grouped; a member's days are few, so combining in the parts that a table is read in would only fill memory.
     """
-    days = attendance.filter("member_name is not null").groupBy("member_name", "date").agg(
-        F.bool_or("is_present").alias("present")
-    )
+    attended = attendance.filter("member_name is not null")
+    attended = attended if parts is None else attended.repartition(parts, "member_name")
+    days = attended.groupBy("member_name", "date").agg(F.bool_or("is_present").alias("present"))
     seen = days.groupBy("member_name").agg(
         F.min("date").alias("earliest_sitting"),
         F.max("date").alias("latest_sitting"),

@@ -11,7 +11,7 @@ from rostrum.operators.joins import left_lookup, reconcile_full
 from rostrum.operators.lifecycle import lifecycle_summary, stitch_across_years
 from rostrum.operators.ranking import primary_secondary, rank_categories
 from rostrum.operators.sets import replace_column
-from rostrum.operators.temporal import concurrent_positions_by_date, open_end
+from rostrum.operators.temporal import concurrent_positions_by_date, open_end, positions_held, positions_on_date
 from rostrum.plans.facts import worded_speeches
 from rostrum.sources.tables import on_date
 
@@ -22,16 +22,22 @@ def _seats(positions: DataFrame) -> DataFrame:
     )
 
 
+def _offices(positions: DataFrame) -> DataFrame:
+    return positions.filter("type = 'appointment' and member_name is not null").select(
+        "member_name", "member_position", "effective_from_date", "effective_to_date"
+    )
+
+
+_APPOINTED = {"positions": "appointments", "count_positions": "count_concurrent_appointments"}
+
+
 def mart_prep_appointment_by_date(
     sittings: DataFrame, positions: DataFrame, as_of: Column | None = None, rows: DataFrame | None = None
 ) -> DataFrame:
     """Appointments held on each sitting date; with ``rows`` (member_name, date) added to these, instead of for all dates."""
-    held = positions.filter("type = 'appointment' and member_name is not null").select(
-        "member_name", "member_position", "effective_from_date", "effective_to_date"
-    )
     return concurrent_positions_by_date(
-        sittings, held, "date", ["member_name"], "member_position", "effective_from_date", "effective_to_date", as_of, rows
-    ).withColumnsRenamed({"positions": "appointments", "count_positions": "count_concurrent_appointments"})
+        sittings, _offices(positions), "date", ["member_name"], "member_position", "effective_from_date", "effective_to_date", as_of, rows
+    ).withColumnsRenamed(_APPOINTED)
 
 
 def mart_prep_bill_activity(activity: DataFrame) -> DataFrame:
@@ -48,22 +54,24 @@ def mart_prep_bill_activity(activity: DataFrame) -> DataFrame:
 
 
 def member_histories(members: DataFrame, party: DataFrame, positions: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """All that is known of a member over time, in one row: ``people``, ``parties`` by parliament, and ``seats`` by dates.
+    """All that is known of a member over time, in one row: ``people``, ``parties`` by parliament, ``seats`` and offices ``held``.
 
-    The lists are bounded by what they mean: the party of each parliament and the seats of one person.
+    The lists are bounded by what they mean: the party of each parliament, the seats and the offices of one person.
     """
     people = members.groupBy("member_name").agg(F.collect_list(F.struct("gender", "member_ethnicity")).alias("people"))
     parties = party.groupBy("member_name").agg(F.collect_list(F.struct("parliament", "party")).alias("parties"))
     until = open_end(F.col("effective_to_date"), as_of).alias("until")
     seat = F.struct(F.col("effective_from_date").alias("since"), until, "constituency")
     seats = _seats(positions).groupBy("member_name").agg(F.collect_list(seat).alias("seats"))
-    return people.join(parties, "member_name", "full").join(seats, "member_name", "full").filter("member_name is not null")
+    held = positions_held(_offices(positions), ["member_name"], "member_position", "effective_from_date", "effective_to_date", as_of)
+    known = people.join(parties, "member_name", "full").join(seats, "member_name", "full").join(held, "member_name", "full")
+    return known.filter("member_name is not null")
 
 
-def with_history(rows: DataFrame, histories: DataFrame) -> DataFrame:
+def with_history(rows: DataFrame, histories: DataFrame, *lists: str) -> DataFrame:
     """``rows`` (member_name, date, parliament) with gender, member_ethnicity, party and constituency, by one join.
 
-    Several of them on a date give a row each; what a member lacks is NULL.
+    Several of them on a date give a row each; what a member lacks is NULL. ``lists`` of the histories come along as they are.
     """
     met = left_lookup(rows, histories, ["member_name"])
     of_parliament = F.filter("parties", lambda p: p["parliament"] == F.col("parliament"))
@@ -72,7 +80,7 @@ def with_history(rows: DataFrame, histories: DataFrame) -> DataFrame:
     met = met.select("*", F.explode_outer(of_date).alias("__seat"))
     return met.select(
         *rows.columns, "__person.gender", "__person.member_ethnicity", F.col("__party.party").alias("party"),
-        F.col("__seat.constituency").alias("constituency"),
+        F.col("__seat.constituency").alias("constituency"), *lists,
     )
 
 
@@ -83,14 +91,17 @@ def mart_attendance(
     party: DataFrame,
     positions: DataFrame,
     as_of: Column | None = None,
+    histories: DataFrame | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Attendance with the sitting and the member; its rows move once, by member.
+    """Attendance with the sitting and the member; its rows move once, by member, into ``parts`` if that is given.
 
-    The calendar may be broadcast: it is one row per calendar day, whatever the data size.
+    The calendar may be broadcast: it is one row per calendar day, whatever the data size. A member has a row a day at most.
     """
     calendar = sittings.groupBy(F.col("date").cast("date").alias("date")).agg(F.collect_list(F.struct("parliament", "session")).alias("__sat"))
     dated = left_lookup(attendance, F.broadcast(calendar), ["date"]).select(*attendance.columns, F.inline_outer("__sat"))
-    seated = with_history(dated, member_histories(members, party, positions, as_of))
+    dated = dated if parts is None else dated.repartition(parts, "member_name")
+    seated = with_history(dated, member_histories(members, party, positions, as_of) if histories is None else histories)
     return seated.select(
         "date",
         "parliament",
@@ -118,7 +129,7 @@ def _top_two(ranked: DataFrame) -> DataFrame:
     )
 
 
-def topic_ministries(speeches: DataFrame, topics: DataFrame, speakers: DataFrame) -> DataFrame:
+def topic_ministries(speeches: DataFrame, topics: DataFrame, histories: DataFrame) -> DataFrame:
     """Per topic the two ministries asked most, with their share of its questions.
 
     ``speeches`` are ``worded_speeches``; texts aren't read. A question counts once per row of its speaker on that day, as in
@@ -129,9 +140,8 @@ def topic_ministries(speeches: DataFrame, topics: DataFrame, speakers: DataFrame
         .groupBy("topic_id", "stood", F.col("ministry").alias("ministry_addressed"), *_SPOKEN)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    times = speakers.groupBy(*_SPOKEN).agg(F.count(F.lit(1)).alias("__times"))
-    labels = left_lookup(labels, times, _SPOKEN, null_safe=_SPOKEN[1:]).withColumn("n", F.col("n") * F.coalesce("__times", F.lit(1)))
-    typed = left_lookup(labels.drop("__times", *_SPOKEN), topics.select("topic_id", "section_type"), ["topic_id"])
+    labels = with_history(labels, histories).select("topic_id", "stood", "ministry_addressed", "n")
+    typed = left_lookup(labels, topics.select("topic_id", "section_type"), ["topic_id"])
     questions = typed.filter(F.col("stood") | F.col("section_type").isin(fv.PRIMARY_QUESTION_TYPES))
     return _top_two(rank_categories(questions, ["topic_id"], "ministry_addressed", weight="n"))
 
@@ -160,6 +170,36 @@ def member_days(
     return left_lookup(seated, appointments, ["member_name", "date"])
 
 
+_SAT = ["date", "parliament", "session", "volume", "sittings"]
+
+
+def topics_told(speeches: DataFrame, topics: DataFrame, sittings: DataFrame, histories: DataFrame) -> DataFrame:
+    """What the mart tells of a topic, with the ministries asked most; ``speeches`` are ``worded_speeches``."""
+    about = topics.select(
+        "topic_id", "title", "section_type", "section_type_name", "is_topic_constitutional", "is_topic_procedural"
+    )
+    dated = left_lookup(speeches, sittings.select(*_SAT), ["date"])
+    return left_lookup(about, topic_ministries(dated, topics, histories), ["topic_id"])
+
+
+def _told_by_row(
+    dated: DataFrame, about: DataFrame, histories: DataFrame, sittings: DataFrame, appointments: DataFrame | None, texts: DataFrame
+) -> DataFrame:
+    """Speeches with all that is told of their speaker and topic, met by ``texts`` last.
+
+    Only what is needed for looking up moves to the members, by one join, whose hot keys adaptive execution can split; the other
+    columns stay with ``texts``.
+    """
+    beside = [c for c in texts.columns if c in dated.columns and c not in ("row_id", "topic_id", *_SPOKEN)]
+    told = with_history(dated.drop(*beside), histories, "held")
+    if appointments is None:
+        told = positions_on_date(told, sittings, "date").withColumnsRenamed(_APPOINTED)
+    else:
+        told = left_lookup(told.drop("held"), appointments, ["member_name", "date"])
+    told = left_lookup(told, about, ["topic_id"])
+    return told.drop(*[c for c in texts.columns if c != "row_id"]).join(texts, "row_id")
+
+
 def mart_speeches(
     speeches: DataFrame,
     topics: DataFrame,
@@ -171,32 +211,33 @@ def mart_speeches(
     as_of: Column | None = None,
     compat: bool = False,
     texts: DataFrame | None = None,
+    histories: DataFrame | None = None,
+    about: DataFrame | None = None,
 ) -> DataFrame:
     """Speeches with everything known about their topic, sitting and speaker.
 
-    With ``texts`` (row_id, text) the speeches are ``worded_speeches`` under stored row ids, without texts: all joins move short
-    rows, and texts come in last by row id, moved once. Without it speeches carry their texts along.
+    With ``texts`` (row_id, text, and any other columns of the speeches) the speeches are ``worded_speeches`` under stored row
+    ids, without texts: all joins move short rows, and texts come in last by row id, moved once. Without it speeches carry their
+    texts along. ``histories`` (``member_histories``) and ``about`` (``topics_told``) may be given if they are stored.
     ``compat`` repeats the constitutional flag as the procedural one.
     """
-    dated = left_lookup(
-        worded_speeches(speeches) if texts is None else speeches, sittings.select("date", "parliament", "session", "volume", "sittings"), ["date"]
-    )
-    speakers = member_days(dated, members, party, positions, sittings, appointments, as_of)
-    about = topics.select(
-        "topic_id", "title", "section_type", "section_type_name", "is_topic_constitutional", "is_topic_procedural"
-    )
-    about = left_lookup(about, topic_ministries(dated, topics, speakers), ["topic_id"])
-    enriched = left_lookup(
-        left_lookup(dated, about, ["topic_id"]),
-        speakers,
-        ["member_name", "date", "parliament"],
-        null_safe=["date", "parliament"],
-    )
+    worded = worded_speeches(speeches) if texts is None else speeches
+    dated = left_lookup(worded, sittings.select(*_SAT), ["date"])
+    histories = member_histories(members, party, positions, as_of) if histories is None else histories
+    about = topics_told(worded, topics, sittings, histories) if about is None else about
+    if texts is None:
+        speakers = member_days(dated, members, party, positions, sittings, appointments, as_of)
+        enriched = left_lookup(
+            left_lookup(dated, about, ["topic_id"]),
+            speakers,
+            ["member_name", "date", "parliament"],
+            null_safe=["date", "parliament"],
+        )
+    else:
+        enriched = _told_by_row(dated, about, histories, sittings, appointments, texts)
     asked = F.col("section_type").isin(fv.PRIMARY_QUESTION_TYPES) & F.col("asks")
     enriched = enriched.withColumn("is_primary_question", F.coalesce(asked | F.col("stood"), F.lit(False)))
     enriched = enriched.withColumn("ministry_addressed", F.when(F.col("is_primary_question"), F.col("ministry")))
-    if texts is not None:
-        enriched = enriched.join(texts, "row_id")
     procedural = "is_topic_constitutional" if compat else "is_topic_procedural"
     seat = F.when(F.col("party") == fv.NOMINATED_PARTY, fv.NOMINATED_SEAT).otherwise(F.col("constituency"))
     return enriched.select(

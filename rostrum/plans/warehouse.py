@@ -33,6 +33,8 @@ LAYERS = {
 # tables laid out by month of a date, and how rows stand within their files
 LAYOUTS = {"mart_speeches": ("date", ["date", "speech_id"])}
 
+ROWS = 250_000  # of a large stored table, in a part that its rows are brought together in
+
 
 def read_sources(spark: SparkSession, table_folder: str, sheet_folder: str) -> dict[str, DataFrame]:
     """Stored raw tables and exported sheets (``sheet_folder/<sheet>.csv``)."""
@@ -75,6 +77,23 @@ class Warehouse:
         self._stored[name] = materialise(df, name, LAYERS[layer], self.folder, by_month(date) if date else None, cluster)
         return self._stored[name].select(*columns)
 
+    def _kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that several models read, which is no model itself."""
+        if name not in self._built:
+            self._built[name] = self._keep(name, build())
+        return self._built[name]
+
+    def _parts(self, stored: DataFrame) -> int | None:
+        """So many parts that none grows with the table; counting a stored one reads no values."""
+        return None if self.folder is None else max(stored.sparkSession.sparkContext.defaultParallelism, -(-stored.count() // ROWS))
+
+    @property
+    def histories(self) -> DataFrame:
+        return self._kept(
+            "mart_prep_member_histories",
+            lambda: marts.member_histories(self.dim_members, self.party, self.dim_prep_member_positions, self.as_of),
+        )
+
     def laid_out(self, name: str) -> DataFrame:
         """A stored model with the columns of its layout, for filters that skip files."""
         model = getattr(self, name)
@@ -169,6 +188,7 @@ class Warehouse:
             self.stg_members_full_name,
             self.stg_members_image,
             self.dim_prep_member_positions,
+            self._parts(self.fact_attendance),
         )
 
     @_model
@@ -208,18 +228,20 @@ class Warehouse:
     def mart_attendance(self):
         return marts.mart_attendance(
             self.fact_attendance, self.fact_sittings, self.dim_members, self.party, self.dim_prep_member_positions,
-            self.as_of,
+            self.as_of, self.histories, self._parts(self.fact_attendance),
         )
 
     @_model
     def mart_speeches(self):
-        speeches, texts = self.fact_speeches, None
+        speeches, stored = self.fact_speeches, {}
         if self.folder is not None:
             rows = self._stored["fact_speeches"]
-            speeches, texts = rows.drop("text"), rows.select("row_id", "text")
+            speeches = rows.drop("text")
+            told = lambda: marts.topics_told(speeches, self.dim_topics, self.fact_sittings, self.histories)
+            stored = dict(texts=rows, histories=self.histories, about=self._kept("mart_prep_topics_told", told))
         return marts.mart_speeches(
             speeches, self.dim_topics, self.fact_sittings, self.dim_members, self.party,
-            self.dim_prep_member_positions, as_of=self.as_of, compat=self.compat, texts=texts,
+            self.dim_prep_member_positions, as_of=self.as_of, compat=self.compat, **stored,
         )
 
     @_model
