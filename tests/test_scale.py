@@ -56,3 +56,40 @@ def test_the_stored_mart_needs_no_appointments_of_all_dates(spark, tmp_path):
     house = Warehouse(RawTables(spark, "/root/testdata/sf0.001"), F.to_date(F.lit("2019-08-01")), folder=str(tmp_path / "house"))
     assert house.mart_speeches.filter("member_appointments is not null").count() > 0
     assert "mart_prep_appointment_by_date" not in house._built
+
+
+def _exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_the_stored_mart_moves_its_rows_twice(spark, tmp_path):
+    """Once what is looked up by, to the members; then all columns by row id. Not to topics and to days of speakers as well."""
+    house = Warehouse(RawTables(spark, "/root/testdata/sf0.001"), F.to_date(F.lit("2019-08-01")), folder=str(tmp_path / "house"))
+    lazy = Warehouse(house.raw, house.as_of)
+    found = house.plan("mart_speeches")
+    columns = [c for c in found.columns if c != "member_appointments"] + ["array_join(member_appointments, '|')"]
+    assert sorted(map(str, found.selectExpr(*columns).collect())) == sorted(map(str, lazy.mart_speeches.selectExpr(*columns).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")  # topics and sittings are below that, members are made to be above
+    try:
+        joined = house.plan("mart_speeches")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "topic_id" not in "".join(line.partition("hashpartitioning(")[2] for line in _exchanges(joined))
+        assert text.count("speech_id") and "parliament" not in "".join(line.partition("hashpartitioning(")[2] for line in _exchanges(joined))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_attendance_comes_together_by_member_in_parts_that_grow(spark, tmp_path, monkeypatch):
+    from rostrum.plans import warehouse as w
+
+    monkeypatch.setattr(w, "ROWS", 100)
+    house = Warehouse(RawTables(spark, "/root/testdata/sf0.001"), F.to_date(F.lit("2019-08-01")), folder=str(tmp_path / "house"))
+    parts = -(-house.fact_attendance.count() // 100)
+    assert parts > 8
+    for model in ("dim_members", "mart_attendance"):
+        assert any(line.partition("hashpartitioning(member_name")[2].partition(", ")[2].startswith(f"{parts})") for line in _exchanges(house.plan(model)))
+
+
+def test_orders_are_not_dealt_each_time_they_are_read(spark):
+    plan = RawTables(spark, "/root/testdata/sf0.001")["sittings"]._jdf.queryExecution().toString()
+    assert "RoundRobinPartitioning" not in plan and "REPARTITION_BY_NUM" not in plan
