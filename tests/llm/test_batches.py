@@ -26,3 +26,13 @@ def test_ngram_join_reads_texts_in_bounded_batches(spark, monkeypatch):
     found = {r.doc_id: r.component_id for r in ngram_join.class_report(docs).collect()}
     assert found == {1: 1, 2: 1, 3: 3}
     assert asked["described"] == asked["arrays"] == ngram_join.TEXTS
+
+
+def test_language_stage_reads_whole_texts_in_bounded_batches(spark, monkeypatch):
+    import corpus_pipeline as pipeline
+
+    asked, plain = {}, stored
+    monkeypatch.setattr(pipeline, "stored", lambda df, name, batch=None: asked.update({name: batch}) or plain(df, name, batch))
+    docs = spark.createDataFrame([(1, "the cat sat on the mat", "en"), (2, "123 ..", "en"), (3, None, "en")], "doc_id long, text string, lang string")
+    assert pipeline.identify_language(spark, docs, "").count() <= 1
+    assert asked["belonging"] <= 500
