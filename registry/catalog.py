@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rostrum.sources.tables import total_bytes
+from rostrum.sources.tables import part_count, total_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,7 +54,7 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-DEAL = 2 << 20  # bytes of a table's files for each part
+DEAL = 2 << 20  # bytes of a table's files for each part, or more (part_count)
 
 
 def dealt(df: DataFrame, *keys: str, beside: DataFrame | None = None) -> DataFrame:
@@ -67,4 +67,4 @@ def dealt(df: DataFrame, *keys: str, beside: DataFrame | None = None) -> DataFra
     cores, files = df.sparkSession.sparkContext.defaultParallelism, (df if beside is None else beside).inputFiles()
     if not keys and len(files) >= min(cores, 64):
         return df
-    return df.repartition(max(cores, -(-total_bytes(df.sparkSession, files) // DEAL)), *keys)
+    return df.repartition(part_count(df.sparkSession, total_bytes(df.sparkSession, files), DEAL), *keys)

@@ -99,6 +99,19 @@ def total_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
     return sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in found)
 
 
+FEW = 200  # most partitions that Spark writes row by row (spark.shuffle.sort.bypassMergeThreshold); beyond, a task holds all its rows
+
+
+def part_count(spark: SparkSession, size: int, least: int) -> int:
+    """How many parts to bring rows of a large table together in, each with ``least`` of its ``size`` (bytes or rows) or more.
+
+    Parts grow, up to 32 times ``least``, before they become more than ``FEW``: a small, well packed file holds very many rows,
+    which the task that deals them to more parts would all keep in memory.
+    """
+    fine, coarse = -(-size // least), -(-size // (32 * least))
+    return max(spark.sparkContext.defaultParallelism, min(fine, max(FEW, coarse)))
+
+
 def _versions(spark: SparkSession, path: str) -> dict[int, str]:
     """Folder names by number of commit."""
     fs, at = _files(spark, path)
