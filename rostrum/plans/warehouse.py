@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rostrum.operators import quality as q
 from rostrum.plans import aggregates, dashboards, dimensions, facts, marts, staging
 from rostrum.sources.schemas import SHEETS, STAGED_SHEETS
-from rostrum.sources.tables import by_month, load_table, materialise, read_sheet, topic_type_seed
+from rostrum.sources.tables import by_month, load_table, materialise, part_count, read_sheet, topic_type_seed
 
 RAW_TABLES = (
     "attendance", "sittings", "speeches", "topics", "members_full_name", "members_image",
@@ -33,7 +33,7 @@ LAYERS = {
 # tables laid out by month of a date, and how rows stand within their files
 LAYOUTS = {"mart_speeches": ("date", ["date", "speech_id"])}
 
-ROWS = 250_000  # of a large stored table, in a part that its rows are brought together in
+ROWS = 250_000  # of a large stored table, in a part that its rows are brought together in, or more (part_count)
 
 
 def read_sources(spark: SparkSession, table_folder: str, sheet_folder: str) -> dict[str, DataFrame]:
@@ -84,8 +84,8 @@ class Warehouse:
         return self._built[name]
 
     def _parts(self, stored: DataFrame) -> int | None:
-        """So many parts that none grows with the table; counting a stored one reads no values."""
-        return None if self.folder is None else max(stored.sparkSession.sparkContext.defaultParallelism, -(-stored.count() // ROWS))
+        """So many parts that none outgrows a task; counting a stored one reads no values."""
+        return None if self.folder is None else part_count(stored.sparkSession, stored.count(), ROWS)
 
     @property
     def histories(self) -> DataFrame:
