@@ -16,7 +16,8 @@ from rostrum.sources.tables import rename_cast
 
 
 def _to_canonical(df: DataFrame, name_map: DataFrame) -> DataFrame:
-    return canonical_lookup(df, "member_name", name_map, "possible_variation", "member_name")
+    """Variants of names are kept in a sheet by hand, so it is sent to the rows: else whole texts would move by speaker."""
+    return canonical_lookup(df, "member_name", F.broadcast(name_map), "possible_variation", "member_name")
 
 
 def stg_attendance(raw: DataFrame, name_map: DataFrame, exclusions=tuple(fv.ATTENDANCE_EXCLUSIONS)) -> DataFrame:

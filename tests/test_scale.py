@@ -93,3 +93,15 @@ def test_attendance_comes_together_by_member_in_parts_that_grow(spark, tmp_path,
 def test_orders_are_not_dealt_each_time_they_are_read(spark):
     plan = RawTables(spark, "/root/testdata/sf0.001")["sittings"]._jdf.queryExecution().toString()
     assert "RoundRobinPartitioning" not in plan and "REPARTITION_BY_NUM" not in plan
+
+
+def test_rows_do_not_move_by_name_to_meet_the_sheet_of_names(spark):
+    lazy = Warehouse(RawTables(spark, "/root/testdata/sf0.001"), F.to_date(F.lit("2019-08-01")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the sheet is made to be above it
+    try:
+        for model in ("stg_speeches", "stg_attendance"):
+            moved = _exchanges(getattr(lazy, model))
+            assert moved and not any("hashpartitioning(member_name" in line for line in moved)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
