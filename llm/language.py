@@ -19,12 +19,14 @@ one; columns named like the results are replaced.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,12 +119,14 @@ class Model:
         self.languages, self.known_words, self.grams = languages, words, grams
         self.words, self.pieces = word_table, gram_table
         self.norms: dict[int, float] = {}  # median fit of labelled rows by language
+        self.sent: Broadcast | None = None  # on the driver: workers that have it need no other copy
         self._forget()
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in vars(self).items() if k not in ("rows", "unseen", "fits")}
+        return {k: v for k, v in vars(self).items() if k not in ("rows", "unseen", "fits", "sent")}
 
     def __setstate__(self, state: dict) -> None:
+        gc.collect()  # a worker's model before refers to itself by what it keeps of texts
         vars(self).update(state)
         self._forget()
 
@@ -249,7 +253,7 @@ def with_norms(model: Model, labelled: DataFrame, id_col: str = ID, text: str =
     """
     # written down first: else Spark would judge all labelled rows before it draws the sample
     rows = stored(_sampled(pick(labelled, id=id_col, text=text, lang=lang).dropna(), NORM_DOCS), "norm-rows")
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    sent = model.sent = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.StructType().add("lang_pred", "string").add("fit", "double"))
     def judged(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -291,12 +295,14 @@ def predict(docs: DataFrame, model: Model, text: str = TEXT) -> DataFrame:
 
 def belonging(docs: DataFrame, model: Model, text: str = TEXT) -> DataFrame:
     """The rows whose text belongs to a language of the model, which needs ``with_norms``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent, norms = model.sent or docs.sparkSession.sparkContext.broadcast(model), model.norms
 
     @F.pandas_udf("boolean")
     def belongs(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        use = sent.value
+        use.norms = norms  # found after it was sent
         for texts in parts:
-            yield pd.Series([sent.value.belongs(t) for t in texts], dtype=bool)
+            yield pd.Series([use.belongs(t) for t in texts], dtype=bool)
 
     return docs.filter(belongs(text))
 

@@ -36,3 +36,17 @@ def test_language_stage_reads_whole_texts_in_bounded_batches(spark, monkeypatch)
     docs = spark.createDataFrame([(1, "the cat sat on the mat", "en"), (2, "123 ..", "en"), (3, None, "en")], "doc_id long, text string, lang string")
     assert pipeline.identify_language(spark, docs, "").count() <= 1
     assert asked["belonging"] <= 500
+
+
+def test_language_model_is_sent_once(spark, monkeypatch):
+    """A worker that has judged the norms needs no second copy of the model to filter texts."""
+    import corpus_pipeline as pipeline
+    from llm import language
+
+    sent, plain = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: sent.append(type(x)) or plain(x))
+    texts = [(i, f"the cat sat on the mat w{i}", "en") for i in range(60)] + [(99, "qzx vwk jjq xkcd zzq pqw vbn mxz qqk hjk wwx " * 3, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in pipeline.identify_language(spark, docs, "").collect()}
+    assert kept == set(range(60))  # by the norms, which are told apart from the model
+    assert sent.count(language.Model) == 1
