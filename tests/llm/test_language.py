@@ -150,3 +150,11 @@ def test_equals_a_plain_computation(spark):
         lang, score = plain_prediction(rows, text)
         got = model.predict(text)
         assert got[0] == lang and got[1] == pytest.approx(score, rel=1e-4)
+
+
+def test_words_are_runs_of_letters_in_any_text():
+    letters = language._LETTERS
+    every = "".join(chr(c) + (" " if c % 3 else "x") for c in range(0x20000) if not 0xD800 <= c < 0xE000)
+    texts = [every, every[: 1 << 16], "Plain ASCII, it's 2 words_here", "Ünï½ ²x Ⅷ ét K İ", "a𝒜b 𐐀c 1", "123", ""]
+    assert [language.words_of(t) for t in texts] == [letters.findall(t.lower()) for t in texts]
+    assert language.words_of(None) == []
