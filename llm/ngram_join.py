@@ -39,7 +39,8 @@ from llm.common import ID, TEXT, discard, pick, stored
 SHINGLE, PERCENT = 3, 90
 BAND = 1.3  # ratio of a band's bounds
 BLOCK = 1024  # most members of a tile that are looked at together
-SLICES, PARTS = 4, 2  # parts of the keys, and of blocks and pairs, that are gone through one after another
+SLICES, PARTS = 4, 2  # parts of the keys, and of pairs, that are gone through one after another
+MOVED, FEW = 4, 20_000  # bitmaps moved to blocks at a time, for each set in tiles, of which FEW are taken for that many
 STARS = 2  # members of a tile that all others are compared with first
 TEXTS = 500  # whole texts that a task holds at a time
 SEEN = 100_000  # sets that a task remembers, to describe copies once
@@ -352,8 +353,10 @@ def set_classes(sets: DataFrame, arrays_of: Callable[[DataFrame], DataFrame], pe
         return candidates
 
     block = ["key", "p", "q"]
-    for part in range(PARTS):
-        open_blocks, layers, mine = cut.filter(F.pmod(F.xxhash64("key"), F.lit(PARTS)) == part), 1, []
+    # a set stands in many blocks, each of which takes its bitmap
+    turns = max(1, -(-cut.count() // (MOVED * max(FEW, nodes.count()))))
+    for turn in range(turns):
+        open_blocks, layers, mine = cut.filter(F.pmod(F.xxhash64(F.lit(4), *block), F.lit(turns)) == turn), 1, []
         while not open_blocks.isEmpty():
             known = links.with_label(open_blocks)
             mixed = known.groupBy(*block).agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m").select(*block)
@@ -369,6 +372,9 @@ def set_classes(sets: DataFrame, arrays_of: Callable[[DataFrame], DataFrame], pe
                 F.col("m.label").alias("labels"), F.col("gone.a").alias("a"), F.col("gone.b").alias("b"),
             )
             found = stored(rows.mapInPandas(finder(layers), "key long, p int, q int, a long, b long"), "candidates")
+            if found.isEmpty():  # nothing that would connect anything
+                discard(todo, found)
+                break
             wrong = links.judge(found.select("a", "b").distinct())
             open_blocks = stored(todo.join(found.join(wrong, ["a", "b"]).select(*block).distinct(), block).select(*block, "node"), "blocks")
             discard(todo, found, *mine)

@@ -98,3 +98,25 @@ def test_one_tile_of_thousands_of_near_copies(spark, monkeypatch):
     assert {r.component_id for r in got if r.doc_id < 20_000} == {0}
     assert len({r.component_id for r in got if r.doc_id >= 20_000}) == len({r.component_id for r in got}) - 1
     assert len(got) == 20_040 and all(n <= 20_040 * 80 for n, _ in rows_in_blocks)
+
+
+def test_blocks_take_bitmaps_a_few_sets_at_a_time(spark, monkeypatch):
+    """Texts alike in most parts, but not enough: each stands in many blocks, which must not all hold its bitmap at once."""
+    own = lambda k: [f"own{k}_{i}" for i in range(150)]
+    shared = [f"w{i}" for i in range(400)]
+    texts = [" ".join(shared + own(k)) for k in range(6)] + [" ".join([*shared, *own(0)[:-2], "x"])]
+    rows, write = [], ngram_join.stored
+
+    def counted(df, name, *batch):
+        out = write(df, name, *batch)
+        if name == "blocks" and "label" in out.columns:
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    monkeypatch.setattr(ngram_join, "FEW", 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicate_classes(docs, 1, 80).collect()}
+    assert found == {**{k: k for k in range(6)}, 6: 0}
+    # turns are dealt by a hash, so they are about equal
+    assert len(rows) > 2 and max(rows) <= 3 * ngram_join.MOVED * len(texts)
