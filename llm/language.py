@@ -32,14 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import ID, TEXT, clear, discard, pick, stored
+from llm.common import ID, TEXT, clear, discard, numbered, pick, stored
 
 MOST_DOCS = 20_000  # labelled documents of each language that a model is fitted on
 MOST_ENTRIES, LEAST_ENTRIES = 200_000, 5_000  # words, and as many n-grams: over all languages, but so many of each at least
 LONGEST = 4
 EVIDENCE = 20
 KEPT = 400_000  # words of texts, and scores of unseen ones, that a worker keeps
-NORM_DOCS = 1_000  # labelled documents of each language that the usual fit is taken from
 UNDETERMINED = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 # The same words, found faster: in lower-case text of ASCII alone, and in text up to U+FFFF, whose letters are listed by range.
@@ -263,12 +262,11 @@ def fit(labelled: DataFrame, id_col: str = ID, text: str = TEXT, lang: str = "la
 
 
 def with_norms(model: Model, labelled: DataFrame, id_col: str = ID, text: str = TEXT, lang: str = "lang") -> Model:
-    """The model, knowing how well labelled rows fit their languages: medians of about ``NORM_DOCS`` rows of each.
+    """The model, knowing how well labelled rows fit their languages: the exact (lower) median over all rows of each.
 
     Give rows that the model wasn't fitted on: its own fit it too well. A language without any has no lower bound.
     """
-    # written down first: else Spark would judge all labelled rows before it draws the sample
-    rows = stored(_sampled(pick(labelled, id=id_col, text=text, lang=lang).dropna(), NORM_DOCS), "norm-rows")
+    rows = pick(labelled, id=id_col, text=text, lang=lang).dropna()
     sent = model.sent = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.StructType().add("lang_pred", "string").add("fit", "double"))
@@ -277,9 +275,14 @@ def with_norms(model: Model, labelled: DataFrame, id_col: str = ID, text: str =
             yield pd.DataFrame([sent.value.judge(t)[::2] for t in texts], columns=["lang_pred", "fit"])
 
     fit = F.when(F.col("lang") == F.col("j.lang_pred"), F.col("j.fit"))
-    norms = rows.select("lang", judged("text").alias("j")).groupBy("lang").agg(F.percentile_approx(fit, 0.5).alias("norm")).collect()
-    model.norms = {model.languages.index(r.lang): r.norm for r in norms if r.norm is not None and r.lang in model.languages}
-    discard(rows)
+    fits = rows.select("lang", judged("text").alias("j")).select("lang", fit.alias("fit"), F.monotonically_increasing_id().alias("row"))
+    fits = stored(fits, "fits", batch=500)  # each text is judged once
+    # in order over all tasks, so that no language is put in order in one
+    placed = numbered(fits.filter("fit is not null"), F.col("lang"), F.col("fit"), F.col("row"))
+    spans = placed.groupBy("lang").agg(F.min("no").alias("first"), F.count("*").alias("n")).collect()  # one row per language
+    middle = placed.filter(F.col("no").isin([r["first"] + (r.n - 1) // 2 for r in spans])).collect()
+    model.norms = {model.languages.index(r.lang): r.fit for r in middle if r.lang in model.languages}
+    discard(fits, placed)
     return model
 
 

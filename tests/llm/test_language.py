@@ -82,6 +82,28 @@ def test_the_usual_fit_is_taken_from_texts_left_out(spark):
     assert model.belongs("the riverzq and of the gardenzq housezq the") and not model.belongs("zxq vwk jjq xkq zzq pqw vbn " * 6)
 
 
+def test_the_usual_fit_is_the_median_over_all_rows(spark):
+    """Of thousands of rows in different parts, with rows that come twice or speak for another language."""
+    import random
+    import statistics
+
+    rnd = random.Random(5)
+    known = ["house", "river", "stone", "table", "garden", "window"]
+    fresh = lambda: "".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(rnd.randint(1, 6)))
+    say = lambda: " ".join(rnd.choice(known) + (fresh() if rnd.random() < 0.5 else "") for _ in range(rnd.randint(20, 40)))
+    train = [(k, " ".join(known), "en") for k in range(9)] + [(20 + k, "hund katze haus und der", "de") for k in range(9)]
+    schema = "doc_id long, text string, lang string"
+    model = language.fit(spark.createDataFrame(train, schema))
+    rows = [(k, say(), "en") for k in range(4000)] + [(k, say(), "de") for k in range(30)]
+    rows += [(5000 + k, f"hund und der {fresh()} haus {fresh() * (k % 3)}", "de") for k in range(7)] + rows[:500] + [(9000, None, "en"), (9001, "house", None), (9002, "house", "xx")]
+    language.with_norms(model, spark.createDataFrame(rows, schema).repartition(5))
+    found = {}
+    for _, text, lang in rows:
+        if text and lang and (told := model.judge(text))[0] == lang:
+            found.setdefault(model.languages.index(lang), []).append(told[2])
+    assert len(found[1]) > 4000 and model.norms == {k: statistics.median_low(v) for k, v in found.items()}
+
+
 def test_dropping_what_was_worked_out_changes_nothing(spark, monkeypatch):
     rows = [(k, f"the {'abcdefghij'[k % 10] * 3}er cat{'klm'[k % 3]} sat", "en") for k in range(60)] + [(100 + k, "der hund saß dort", "de") for k in range(9)]
     model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
