@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostrum import fixed_values as fv
 from rostrum.functions.text import contains_any
-from rostrum.operators.joins import left_lookup, reconcile_full
+from rostrum.operators.joins import left_lookup
 
 
 def _by_month(df: DataFrame) -> DataFrame:
     return df.withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
+def _met_on(sides: DataFrame, keys: list[str], left: str, right: str) -> DataFrame:
+    """A full join on ``keys`` of what stands in two columns of the same rows, NULL where a side has nothing.
+
+    Rows with a NULL key match nothing. The rows of a key must be few by their meaning (constituencies of a member's month).
+    """
+    both = sides.groupBy(*keys).agg(F.collect_list(left).alias(left), F.collect_list(right).alias(right))
+    no_left, no_right = (F.lit(None).cast(sides.schema[c].dataType) for c in (left, right))
+    pair = lambda x, y: F.struct(x.alias(left), y.alias(right))
+    pairs = F.flatten(F.transform(left, lambda x: F.transform(right, lambda y: pair(x, y))))
+    alone = F.concat(F.transform(left, lambda x: pair(x, no_right)), F.transform(right, lambda y: pair(no_left, y)))
+    matched = reduce(and_, [F.col(k).isNotNull() for k in keys], (F.size(left) > 0) & (F.size(right) > 0))
+    return both.select(*keys, F.inline(F.when(matched, pairs).otherwise(alone)))
+
+
 def agg_speech_metrics_by_member(
     speeches: DataFrame, attendance: DataFrame, party: DataFrame, ordered: bool = False
 ) -> DataFrame:
@@ -44,32 +61,41 @@ def agg_speech_metrics_by_member(
             F.sum("count_speeches_syllables").alias("count_syllables"),
         )
     )
-    spoken = by_topic.groupBy(*grain).agg(
-        F.coalesce(F.bit_count(F.bit_or("days")), F.lit(0)).cast("bigint").alias("count_sittings_spoken"),
-        F.count("topic_id").alias("count_topics"),
-        *[F.sum(c).alias(c) for c in sums],
+    # everything of a member comes together once; grouping, the meeting of both sides and the party then move nothing more
+    heard = by_topic.select(
+        *grain, F.lit(None).cast("boolean").alias("is_present"),
+        F.struct(F.col("topic_id").isNotNull().alias("named"), "days", *sums).alias("topic"),
     )
-    attended = (
-        _by_month(attendance)
-        .filter("member_name != ''")
-        .groupBy(*grain)
-        .agg(
+    none = F.lit(None).cast(heard.schema["topic"].dataType)
+    seen = _by_month(attendance).filter("member_name != ''").select(*grain, "is_present", none.alias("topic"))
+    counted = (
+        seen.unionByName(heard).repartition("member_name").groupBy(*grain).agg(
+            F.count_if(F.col("topic").isNull()).alias("count_sittings_total"),
             F.count_if("is_present").alias("count_sittings_present"),
-            F.count(F.lit(1)).alias("count_sittings_total"),
+            F.count("topic").alias("n"),
+            F.coalesce(F.bit_count(F.bit_or("topic.days")), F.lit(0)).cast("bigint").alias("count_sittings_spoken"),
+            F.count_if("topic.named").alias("count_topics"),
+            *[F.sum(f"topic.{c}").alias(c) for c in sums],
         )
     )
-    both = reconcile_full(attended, spoken, keys, fill=["member_constituency"])
     spoken_counts = [
         "count_sittings_spoken", "count_topics", "count_pri_questions", "count_speeches", "count_words",
         "count_sentences", "count_syllables",
     ]
-    filled = left_lookup(
-        both.withColumns({c: F.coalesce(c, F.lit(0)) for c in spoken_counts}),
-        party.withColumnRenamed("party", "member_party"),
-        ["member_name", "parliament"],
-    ).select(
-        "parliament", "year", "month", "member_name", "member_party", "member_constituency",
-        "count_sittings_total", "count_sittings_present", *spoken_counts,
+    sat = ["count_sittings_total", "count_sittings_present"]
+    sides = counted.select(
+        *keys,
+        F.when(F.col("count_sittings_total") > 0, F.struct("member_constituency", *sat)).alias("attended"),
+        F.when(F.col("n") > 0, F.struct("member_constituency", *spoken_counts)).alias("spoken"),
+    )
+    parties = party.groupBy("member_name").agg(F.collect_list(F.struct("parliament", "party")).alias("parties"))
+    met = left_lookup(_met_on(sides, keys, "attended", "spoken"), parties, ["member_name"])
+    of_parliament = F.filter("parties", lambda p: p["parliament"] == F.col("parliament"))
+    filled = met.select("*", F.explode_outer(of_parliament).alias("member_of")).select(
+        "parliament", "year", "month", "member_name", F.col("member_of.party").alias("member_party"),
+        F.coalesce("attended.member_constituency", "spoken.member_constituency").alias("member_constituency"),
+        *[f"attended.{c}" for c in sat],
+        *[F.coalesce(f"spoken.{c}", F.lit(0)).alias(c) for c in spoken_counts],
     )
     return filled.orderBy("member_name", "parliament", "year", "month") if ordered else filled
 

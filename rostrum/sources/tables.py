@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,18 @@ def rename_cast(df: DataFrame, spec: Mapping[str, tuple[str, str]]) -> DataFrame
 
 
 _COMMITS = "_commits"
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _freeing(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside are deleted with its end: the stored table is read from then on."""
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
 
 
 def by_month(date: str) -> dict[str, Column]:
@@ -71,7 +84,8 @@ def write_table(df: DataFrame, path: str, layout: Mapping[str, Column] | None =
         df = df.sortWithinPartitions(*cluster)
     fs, at = _files(spark, path)
     try:
-        df.write.partitionBy(*layout).parquet(f"{path}/{version}")
+        with _freeing(spark):
+            df.write.partitionBy(*layout).parquet(f"{path}/{version}")
     except Exception:
         fs.delete(at(version), True)
         raise
@@ -160,7 +174,8 @@ def shared_folder(spark: SparkSession) -> str:
 def kept_aside(df: DataFrame) -> DataFrame:
     """A small intermediate table, written once below the shared folder and read back."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _freeing(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,12 +1,17 @@
 """Plans whose cost once grew faster than their input."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from registry.raw_tables import RawTables
+from rostrum import fixed_values as fv
+from rostrum.operators.joins import reconcile_full
 from rostrum.operators.temporal import concurrent_positions_by_date
-from rostrum.plans import marts
+from rostrum.plans import aggregates, marts
 from rostrum.plans.warehouse import Warehouse
+from rostrum.sources import tables
 
 
 @pytest.fixture
@@ -105,3 +110,71 @@ def test_rows_do_not_move_by_name_to_meet_the_sheet_of_names(spark):
             assert moved and not any("hashpartitioning(member_name" in line for line in moved)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _plain_metrics(speeches, attendance, party):
+    """The metrics by two groups, a full join on the month and a join with the parties."""
+    grain = ["parliament", "year", "month", "member_name", "member_constituency"]
+    by_month = lambda df: df.withColumns({"year": F.year("date"), "month": F.month("date")})
+    aloud = F.when(~F.col("topic_type").isin(fv.WRITTEN_TYPES), F.col("date"))
+    spoken = by_month(speeches.filter("member_name <> '' and not is_topic_procedural")).groupBy(*grain).agg(
+        F.count_distinct(aloud).alias("count_sittings_spoken"), F.count_distinct("topic_id").alias("count_topics"),
+        F.count_if("is_primary_question").alias("count_pri_questions"), F.count("*").alias("count_speeches"),
+        *[F.sum(f"count_speeches_{c}").alias(f"count_{c}") for c in ("words", "sentences", "syllables")],
+    )
+    attended = by_month(attendance.filter("member_name <> ''")).groupBy(*grain).agg(
+        F.count("*").alias("count_sittings_total"), F.count_if("is_present").alias("count_sittings_present")
+    )
+    both = reconcile_full(attended, spoken, grain[:-1], fill=["member_constituency"])
+    return both.na.fill(0, spoken.columns[5:]).join(party.withColumnRenamed("party", "member_party"), ["member_name", "parliament"], "left")
+
+
+@pytest.fixture
+def odd_months(table):
+    """Speeches, attendance and parties with NULLs in every key, rows that come twice, and members with several seats and parties."""
+    days = ["2020-01-01", "2020-01-02", "2020-02-01", None]
+    who = [(d, p, m, c) for d in days for p in (1, None) for m in ("Ann", "Bob", "", None) for c in ("East", "West", None)]
+    seen = [(*w, present) for k, w in enumerate(who) for present in ((True, None) if k % 3 else (False, False, True)) if k % 7]
+    attendance = table("date date, parliament bigint, member_name string, member_constituency string, is_present boolean", *seen, ("2020-03-01", 1, "Cy", "North", True))
+    said = [(*w, topic, kind, topic == "t2", k % 2 == 0, k, None if k % 5 else 2, 1) for k, w in enumerate(who) for topic, kind in (("t0", "OS"), (None, "OS"), ("t1", "WA"), ("t2", "OS")) if k % 4]
+    speeches = table(
+        "date date, parliament bigint, member_name string, member_constituency string, topic_id string, topic_type string, is_topic_procedural boolean, "
+        "is_primary_question boolean, count_speeches_words bigint, count_speeches_sentences bigint, count_speeches_syllables bigint",
+        *said, ("2020-04-01", 1, "Di", "South", "t0", "WA", False, None, None, None, None),
+    )
+    party = table("member_name string, party string, parliament bigint", ("Ann", "X", 1), ("Ann", "Y", 1), ("Bob", None, 1), ("Bob", "Z", 2), ("Cy", "X", None), (None, "X", 1))
+    return speeches, attendance, party
+
+
+def test_metrics_of_odd_months(odd_months):
+    found = aggregates.agg_speech_metrics_by_member(*odd_months)
+    want = _plain_metrics(*odd_months).select(found.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.count() > 50
+    assert [f.dataType for f in found.schema] == [f.dataType for f in want.schema]
+
+
+def test_months_of_members_move_once(spark, odd_months):
+    """To the member, who then has the other side and the party; not to the month, the join and the party each."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = [line.partition("hashpartitioning(")[2] for line in _exchanges(aggregates.agg_speech_metrics_by_member(*odd_months))]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [line for line in moved if "month" in line and "topic_id" not in line] == []
+    assert sum("member_name" in line and "month" not in line for line in moved) == 2  # all rows, and the parties
+
+
+def test_shuffle_files_go_when_a_table_is_stored(spark, tmp_path):
+    def shuffles():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [found.apply(k).getName() for k in range(found.size())]
+        return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
+
+    before, key = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    asked = spark.conf.get(key, None)
+    for store in (lambda df: tables.write_table(df, str(tmp_path / "t")), tables.kept_aside):
+        store(spark.range(1000).repartition(3, "id"))
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(key, None) == asked
