@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum import fixed_values as fv
@@ -182,8 +182,29 @@ def topics_told(speeches: DataFrame, topics: DataFrame, sittings: DataFrame, his
     return left_lookup(about, topic_ministries(dated, topics, histories), ["topic_id"])
 
 
+def _met_by_month(told: DataFrame, texts: DataFrame, date: Column, parts: int, shares: int) -> DataFrame:
+    """``told`` (row_id, __date) joined with ``texts`` by row_id, where rows of a month come together in few of ``parts``.
+
+    Each row moves once. Both sides are one table meanwhile, in which a text stands beside the rows that tell of it. Months are
+    dealt in ``shares``; rows without a date are a month of their own.
+    """
+
+    def dealt(side: DataFrame, day: Column, name: str, columns: list[str]) -> DataFrame:
+        month = F.coalesce(F.year(day) * 12 + F.month(day), F.lit(-1)).cast("bigint")
+        share = (month * shares + F.pmod("row_id", F.lit(shares))).alias("__share")
+        return side.select(share, "row_id", F.struct(*columns).alias(name))
+
+    short = dealt(told, F.col("__date"), "__told", [c for c in told.columns if c not in ("row_id", "__date")])
+    whole = dealt(texts, date, "__text", [c for c in texts.columns if c != "row_id"])
+    both = short.unionByName(whole, allowMissingColumns=True).repartition(parts, "__share")
+    beside = Window.partitionBy("__share", "row_id")  # one text and the few rows that tell of it
+    both = both.withColumn("__text", F.first("__text", ignorenulls=True).over(beside))
+    return both.filter("__told is not null and __text is not null").select("row_id", "__told.*", "__text.*")
+
+
 def _told_by_row(
-    dated: DataFrame, about: DataFrame, histories: DataFrame, sittings: DataFrame, appointments: DataFrame | None, texts: DataFrame
+    dated: DataFrame, about: DataFrame, histories: DataFrame, sittings: DataFrame, appointments: DataFrame | None, texts: DataFrame,
+    by_month: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Speeches with all that is told of their speaker and topic, met by ``texts`` last.
 
@@ -197,7 +218,10 @@ def _told_by_row(
     else:
         told = left_lookup(told.drop("held"), appointments, ["member_name", "date"])
     told = left_lookup(told, about, ["topic_id"])
-    return told.drop(*[c for c in texts.columns if c != "row_id"]).join(texts, "row_id")
+    if by_month is not None:
+        told = told.withColumn("__date", F.col("date"))
+    told = told.drop(*[c for c in texts.columns if c != "row_id"])
+    return told.join(texts, "row_id") if by_month is None else _met_by_month(told, texts, F.col("date"), *by_month)
 
 
 def mart_speeches(
@@ -213,12 +237,14 @@ def mart_speeches(
     texts: DataFrame | None = None,
     histories: DataFrame | None = None,
     about: DataFrame | None = None,
+    by_month: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Speeches with everything known about their topic, sitting and speaker.
 
     With ``texts`` (row_id, text, and any other columns of the speeches) the speeches are ``worded_speeches`` under stored row
     ids, without texts: all joins move short rows, and texts come in last by row id, moved once. Without it speeches carry their
     texts along. ``histories`` (``member_histories``) and ``about`` (``topics_told``) may be given if they are stored.
+    ``by_month``: into how many parts rows come when they meet their texts, each month in how many shares.
     ``compat`` repeats the constitutional flag as the procedural one.
     """
     worded = worded_speeches(speeches) if texts is None else speeches
@@ -234,7 +260,7 @@ def mart_speeches(
             null_safe=["date", "parliament"],
         )
     else:
-        enriched = _told_by_row(dated, about, histories, sittings, appointments, texts)
+        enriched = _told_by_row(dated, about, histories, sittings, appointments, texts, by_month)
     asked = F.col("section_type").isin(fv.PRIMARY_QUESTION_TYPES) & F.col("asks")
     enriched = enriched.withColumn("is_primary_question", F.coalesce(asked | F.col("stood"), F.lit(False)))
     enriched = enriched.withColumn("ministry_addressed", F.when(F.col("is_primary_question"), F.col("ministry")))

@@ -30,8 +30,8 @@ LAYERS = {
     "agg": "table", "dash": "table",
 }
 
-# tables laid out by month of a date, and how rows stand within their files
-LAYOUTS = {"mart_speeches": ("date", ["date", "speech_id"])}
+# tables laid out by month of a date, how rows stand within their files, and whether the model itself brings months together
+LAYOUTS = {"mart_speeches": ("date", ["date", "speech_id"], True)}
 
 ROWS = 250_000  # of a large stored table, in a part that its rows are brought together in, or more (part_count)
 
@@ -73,8 +73,9 @@ class Warehouse:
         if name == "fact_speeches":  # what is told of texts, and a row id, are stored beside them
             df = facts.worded_speeches(df).withColumn("row_id", F.monotonically_increasing_id())
         layer = max((x for x in LAYERS if name.startswith(x)), key=len)
-        date, cluster = LAYOUTS.get(name, (None, []))
-        self._stored[name] = materialise(df, name, LAYERS[layer], self.folder, by_month(date) if date else None, cluster)
+        date, cluster, together = LAYOUTS.get(name, (None, [], False))
+        layout = by_month(date) if date else None
+        self._stored[name] = materialise(df, name, LAYERS[layer], self.folder, layout, cluster, together)
         return self._stored[name].select(*columns)
 
     def _kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -87,6 +88,11 @@ class Warehouse:
         """So many parts that none outgrows a task; counting a stored one reads no values."""
         return None if self.folder is None else part_count(stored.sparkSession, stored.count(), ROWS)
 
+    def _by_month(self, stored: DataFrame) -> tuple[int, int]:
+        """So many parts for the rows of a stored table by month, and so many shares of a month that none outgrows a part."""
+        months = stored.groupBy(F.year("date"), F.month("date")).count()
+        return self._parts(stored), -(-(months.agg(F.max("count")).first()[0] or 1) // ROWS)
+
     @property
     def histories(self) -> DataFrame:
         return self._kept(
@@ -238,7 +244,8 @@ class Warehouse:
             rows = self._stored["fact_speeches"]
             speeches = rows.drop("text")
             told = lambda: marts.topics_told(speeches, self.dim_topics, self.fact_sittings, self.histories)
-            stored = dict(texts=rows, histories=self.histories, about=self._kept("mart_prep_topics_told", told))
+            about = self._kept("mart_prep_topics_told", told)
+            stored = dict(texts=rows, histories=self.histories, about=about, by_month=self._by_month(rows))
         return marts.mart_speeches(
             speeches, self.dim_topics, self.fact_sittings, self.dim_members, self.party,
             self.dim_prep_member_positions, as_of=self.as_of, compat=self.compat, **stored,

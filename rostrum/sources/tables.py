@@ -66,7 +66,9 @@ def by_month(date: str) -> dict[str, Column]:
     return {"__year": F.year(date), "__month": F.month(date)}
 
 
-def write_table(df: DataFrame, path: str, layout: Mapping[str, Column] | None = None, cluster: Sequence[str] = ()) -> DataFrame:
+def write_table(
+    df: DataFrame, path: str, layout: Mapping[str, Column] | None = None, cluster: Sequence[str] = (), together: bool = False
+) -> DataFrame:
     """Replace a stored table and read it back, which also cuts the lineage.
 
     Rows go to a version folder of their own. Then one rename puts a numbered commit in place that names the folder, so that
@@ -74,12 +76,13 @@ def write_table(df: DataFrame, path: str, layout: Mapping[str, Column] | None =
     for those who are reading it; older ones are deleted.
 
     ``layout``: partition columns to add. Rows of a partition are brought together, large ones in several files, and sorted by
-    the ``cluster`` columns within them.
+    the ``cluster`` columns within them. ``together``: they lie in few parts already, so rows aren't moved for it.
     """
     spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
     layout = dict(layout or {})
     if layout:
-        df = df.withColumns(layout).hint("rebalance", *layout).sortWithinPartitions(*layout, *cluster)
+        df = df.withColumns(layout)
+        df = (df if together else df.hint("rebalance", *layout)).sortWithinPartitions(*layout, *cluster)
     elif cluster:
         df = df.sortWithinPartitions(*cluster)
     fs, at = _files(spark, path)
@@ -185,9 +188,10 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def materialise(
-    df: DataFrame, name: str, kind: str, folder: str | None = None, layout: Mapping[str, Column] | None = None, cluster: Sequence[str] = ()
+    df: DataFrame, name: str, kind: str, folder: str | None = None, layout: Mapping[str, Column] | None = None, cluster: Sequence[str] = (),
+    together: bool = False,
 ) -> DataFrame:
     """``table`` is stored in full under the folder; ``view`` stays lazy, under the folder's and its own name."""
     if kind == "table":
-        return write_table(df, f"{folder}/{name}", layout, cluster)
+        return write_table(df, f"{folder}/{name}", layout, cluster, together)
     return publish_view(df, f"{re.sub('[^A-Za-z0-9]+', '_', folder.rpartition('/')[2])}_{name}" if folder else name)

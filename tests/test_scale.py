@@ -178,3 +178,24 @@ def test_shuffle_files_go_when_a_table_is_stored(spark, tmp_path):
     while shuffles() - before and time.time() < until:
         time.sleep(0.2)
     assert not shuffles() - before and spark.conf.get(key, None) == asked
+
+
+def test_the_stored_mart_meets_its_texts_by_month(spark, tmp_path, monkeypatch):
+    """Rows move to their texts and to the layout by month at once; a large month is dealt to several parts."""
+    from rostrum.plans import warehouse as w
+
+    raw = RawTables(spark, "/root/testdata/sf0.001")
+    undated = raw["speeches"].filter("speech_id like '%7'").withColumns({"date": F.lit(None).cast("string"), "speech_id": F.concat("speech_id", F.lit("-"))})
+    raw["speeches"] = raw["speeches"].unionByName(undated)
+    lazy = Warehouse(raw, F.to_date(F.lit("2019-08-01")))
+    columns = [c for c in lazy.mart_speeches.columns if c != "member_appointments"] + ["array_join(member_appointments, '|')"]
+    want = sorted(map(str, lazy.mart_speeches.selectExpr(*columns).collect()))
+    assert any("date=None" in row for row in want)
+    for most in (250_000, 5):
+        monkeypatch.setattr(w, "ROWS", most)
+        house = Warehouse(raw, F.to_date(F.lit("2019-08-01")), folder=str(tmp_path / f"house-{most}"))
+        assert not any("row_id" in line for line in _exchanges(house.plan("mart_speeches")))
+        assert sorted(map(str, house.mart_speeches.selectExpr(*columns).collect())) == want
+        months = house.laid_out("mart_speeches").select("__year", "__month").distinct().count()
+        files = len(house.mart_speeches.inputFiles())
+        assert files == months if most > 5 else months < files <= 20 * months
