@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum import fixed_values as fv
@@ -22,19 +22,24 @@ def _met_on(sides: DataFrame, keys: list[str], left: str, right: str) -> DataFra
 
     Rows with a NULL key match nothing. The rows of a key must be few by their meaning (constituencies of a member's month).
     """
-    both = sides.groupBy(*keys).agg(F.collect_list(left).alias(left), F.collect_list(right).alias(right))
+    of_key = Window.partitionBy(*keys)
+    both = sides.withColumns({"__lefts": F.count(left).over(of_key), "__rights": F.collect_list(right).over(of_key)})
     no_left, no_right = (F.lit(None).cast(sides.schema[c].dataType) for c in (left, right))
     pair = lambda x, y: F.struct(x.alias(left), y.alias(right))
-    pairs = F.flatten(F.transform(left, lambda x: F.transform(right, lambda y: pair(x, y))))
-    alone = F.concat(F.transform(left, lambda x: pair(x, no_right)), F.transform(right, lambda y: pair(no_left, y)))
-    matched = reduce(and_, [F.col(k).isNotNull() for k in keys], (F.size(left) > 0) & (F.size(right) > 0))
-    return both.select(*keys, F.inline(F.when(matched, pairs).otherwise(alone)))
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    met = F.transform("__rights", lambda y: pair(F.col(left), y))
+    met = F.when(complete & (F.size("__rights") > 0), met).otherwise(F.array(pair(F.col(left), no_right)))
+    alone = F.array(pair(no_left, F.col(right)))
+    none = F.slice(alone, 1, 0)
+    met = F.when(F.col(left).isNotNull(), met).otherwise(none)
+    alone = F.when(F.col(right).isNotNull() & ~(complete & (F.col("__lefts") > 0)), alone).otherwise(none)
+    return both.select(*keys, F.inline(F.concat(met, alone)))
 
 
 def agg_speech_metrics_by_member(
-    speeches: DataFrame, attendance: DataFrame, party: DataFrame, ordered: bool = False
+    speeches: DataFrame, attendance: DataFrame, party: DataFrame, ordered: bool = False, parts: int | None = None
 ) -> DataFrame:
-    """Speech and attendance counts per member and month.
+    """Speech and attendance counts per member and month. ``parts``: so many to bring members' rows together in.
 
     Speeches and attendance meet on the month, not on the constituency: a member with
     several constituencies in a month has a row for each pair.
@@ -68,16 +73,20 @@ def agg_speech_metrics_by_member(
     )
     none = F.lit(None).cast(heard.schema["topic"].dataType)
     seen = _by_month(attendance).filter("member_name != ''").select(*grain, "is_present", none.alias("topic"))
-    counted = (
-        seen.unionByName(heard).repartition("member_name").groupBy(*grain).agg(
-            F.count_if(F.col("topic").isNull()).alias("count_sittings_total"),
-            F.count_if("is_present").alias("count_sittings_present"),
-            F.count("topic").alias("n"),
-            F.coalesce(F.bit_count(F.bit_or("topic.days")), F.lit(0)).cast("bigint").alias("count_sittings_spoken"),
-            F.count_if("topic.named").alias("count_topics"),
-            *[F.sum(f"topic.{c}").alias(c) for c in sums],
-        )
-    )
+    by_member = lambda df: df.repartition("member_name") if parts is None else df.repartition(parts, "member_name")
+    rows = by_member(seen.unionByName(heard))
+    # put in order once, by member and month: sums of a month's rows are told on its first, and nothing is hashed
+    order = ["member_name", *keys[:-1]]
+    of_grain = Window.partitionBy(*order, "member_constituency")
+    counted = rows.withColumn("__id", F.monotonically_increasing_id()).select(
+        *grain, "__id", F.min("__id").over(of_grain).alias("__first"),
+        F.count_if(F.col("topic").isNull()).over(of_grain).alias("count_sittings_total"),
+        F.count_if("is_present").over(of_grain).alias("count_sittings_present"),
+        F.count("topic").over(of_grain).alias("n"),
+        F.coalesce(F.bit_count(F.bit_or("topic.days").over(of_grain)), F.lit(0)).cast("bigint").alias("count_sittings_spoken"),
+        F.count_if("topic.named").over(of_grain).alias("count_topics"),
+        *[F.sum(f"topic.{c}").over(of_grain).alias(c) for c in sums],
+    ).filter("__id = __first")
     spoken_counts = [
         "count_sittings_spoken", "count_topics", "count_pri_questions", "count_speeches", "count_words",
         "count_sentences", "count_syllables",
@@ -88,8 +97,8 @@ def agg_speech_metrics_by_member(
         F.when(F.col("count_sittings_total") > 0, F.struct("member_constituency", *sat)).alias("attended"),
         F.when(F.col("n") > 0, F.struct("member_constituency", *spoken_counts)).alias("spoken"),
     )
-    parties = party.groupBy("member_name").agg(F.collect_list(F.struct("parliament", "party")).alias("parties"))
-    met = left_lookup(_met_on(sides, keys, "attended", "spoken"), parties, ["member_name"])
+    parties = by_member(party).groupBy("member_name").agg(F.collect_list(F.struct("parliament", "party")).alias("parties"))
+    met = left_lookup(_met_on(sides, order, "attended", "spoken"), parties, ["member_name"])
     of_parliament = F.filter("parties", lambda p: p["parliament"] == F.col("parliament"))
     filled = met.select("*", F.explode_outer(of_parliament).alias("member_of")).select(
         "parliament", "year", "month", "member_name", F.col("member_of.party").alias("member_party"),

@@ -89,9 +89,9 @@ class Warehouse:
         return None if self.folder is None else part_count(stored.sparkSession, stored.count(), ROWS)
 
     def _by_month(self, stored: DataFrame) -> tuple[int, int]:
-        """So many parts for the rows of a stored table by month, and so many shares of a month that none outgrows a part."""
-        months = stored.groupBy(F.year("date"), F.month("date")).count()
-        return self._parts(stored), -(-(months.agg(F.max("count")).first()[0] or 1) // ROWS)
+        """So many parts for the rows of a stored table by month, and so many shares of a month that parts come out alike."""
+        most = stored.groupBy(F.year("date"), F.month("date")).count().agg(F.max("count")).first()[0] or 1
+        return self._parts(stored), -(-most // max(1, ROWS // 8))
 
     @property
     def histories(self) -> DataFrame:
@@ -257,7 +257,9 @@ class Warehouse:
 
     @_model
     def agg_speech_metrics_by_member(self):
-        return aggregates.agg_speech_metrics_by_member(self.mart_speeches, self.mart_attendance, self.party)
+        return aggregates.agg_speech_metrics_by_member(
+            self.mart_speeches, self.mart_attendance, self.party, parts=self._parts(self.mart_attendance)
+        )
 
     @_model
     def agg_pri_questions_topics_by_member(self):

@@ -153,11 +153,12 @@ def test_metrics_of_odd_months(odd_months):
     assert [f.dataType for f in found.schema] == [f.dataType for f in want.schema]
 
 
-def test_months_of_members_move_once(spark, odd_months):
+@pytest.mark.parametrize("parts", [None, 3])
+def test_months_of_members_move_once(spark, odd_months, parts):
     """To the member, who then has the other side and the party; not to the month, the join and the party each."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        moved = [line.partition("hashpartitioning(")[2] for line in _exchanges(aggregates.agg_speech_metrics_by_member(*odd_months))]
+        moved = [line.partition("hashpartitioning(")[2] for line in _exchanges(aggregates.agg_speech_metrics_by_member(*odd_months, parts=parts))]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert [line for line in moved if "month" in line and "topic_id" not in line] == []
